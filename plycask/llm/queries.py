@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plycask.llm import bpe_count, exact_dedup, language_id, packing, url_filter
+from plycask.llm import bpe_count, exact_dedup, language_id, packing, pii, url_filter
 
 RULES = [
     url_filter.Rule("com", "/en/", url_filter.BLOCK),
@@ -40,12 +40,17 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(_table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_url_filter": op2_url_filter,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_token_counts": op6_token_counts,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
+    "op10_pii": op10_pii,
 }
 
 ORACLE_SQL = {
