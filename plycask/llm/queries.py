@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plycask.llm import bpe_count, exact_dedup, language_id, packing, pii, url_filter
+from plycask.llm import bpe_count, exact_dedup, language_id, minhash, packing, pii, url_filter
 
 RULES = [
     url_filter.Rule("com", "/en/", url_filter.BLOCK),
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(_table(spark, sf_dir, "pages"), RULES)
 
@@ -45,6 +49,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op2_url_filter": op2_url_filter,
     "op3_exact_dedup": op3_exact_dedup,
     "op6_token_counts": op6_token_counts,
