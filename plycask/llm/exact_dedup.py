@@ -24,11 +24,13 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: One budget of native memory for all of an executor's state partitions.
 _BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+#: Whether each state partition reserves disk ahead, some megabytes however few keys it has.
+_RESERVE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 
 
 @contextmanager
 def _settings(spark: SparkSession, **wanted: str):
-    names = {"provider": _PROVIDER, "bounded": _BOUNDED}
+    names = {"provider": _PROVIDER, "bounded": _BOUNDED, "reserve": _RESERVE}
     before = {names[k]: spark.conf.get(names[k], None) for k in wanted}
     for k, value in wanted.items():
         spark.conf.set(names[k], value)
@@ -63,7 +65,7 @@ def update_state(spark: SparkSession, landing: str, schema, checkpoint: str, sin
     def write(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
 
-    with _settings(spark, provider=_ROCKS, bounded="true"):
+    with _settings(spark, provider=_ROCKS, bounded="true", reserve="false"):
         query = state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
         query.awaitTermination()
 
