@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plycask.llm import bpe_count, exact_dedup, language_id, minhash, packing, pii, url_filter
+from plycask.llm import bpe_count, decontaminate, exact_dedup, language_id, minhash, packing, pii, url_filter
 
 RULES = [
     url_filter.Rule("com", "/en/", url_filter.BLOCK),
@@ -32,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_url_filter": op2_url_filter,
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
