@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from plycask.llm import bpe_count, decontaminate, exact_dedup, language_id, minhash, packing, pii, url_filter
+from plycask.llm import bpe_count, decontaminate, exact_dedup, language_id, minhash, packing, phrase_dedup, pii, suffix_dedup, url_filter
 
 RULES = [
     url_filter.Rule("com", "/en/", url_filter.BLOCK),
@@ -32,6 +32,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.groups(_table(spark, sf_dir, "documents"))
 
 
+def op4_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.drop_passages(_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -40,6 +44,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_count.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.drop_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,8 +64,10 @@ QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_url_filter": op2_url_filter,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_phrase_dedup": op4_phrase_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_pii": op10_pii,
