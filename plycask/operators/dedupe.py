@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plycask.functions.headers import header, movetext, tag
+from plycask.functions.headers import header, movetext
 
 #: Fixed value of the data format: links that carry a game's number.
 _LINK = r'\[Link\s+"https://www\.chess\.com/game/live/(\d+)"\]'
@@ -16,25 +16,29 @@ def link_key(text: Column) -> Column:
     return F.concat(F.lit("chesscom-"), number)
 
 
-def _known(text: Column, name: str) -> Column:
-    return F.coalesce(tag(text, name), F.lit(""))
+def _value(text: Column, name: str) -> Column:
+    """A tag's value; the empty string where it is missing or empty."""
+    return F.regexp_extract(text, rf'\[{name}\s+"([^"]+)"\]', 1)
+
+
+def _joined(text: Column, names: list[str], needed: list[str]) -> Column:
+    """The values of tags in lower case; null unless all needed ones are there."""
+    values = F.array(*(_value(text, name) for name in names))
+    places = [names.index(name) for name in needed]
+    whole = F.transform(F.array(values), lambda v: F.when(F.least(*(F.length(v[i]) for i in places)) > 0, F.lower(F.array_join(v, "-"))))
+    return whole[0]
 
 
 def composite_key(text: Column) -> Column:
     """The link, else site, date, players and ratings; null (always kept) where players or date are missing.
     Moves are no part of it: two games of the same players on a day are one."""
-    parts = F.lower(F.concat_ws("-", *(_known(text, name) for name in ("Site", "Date", "White", "Black", "WhiteElo", "BlackElo"))))
-    complete = tag(text, "White").isNotNull() & tag(text, "Black").isNotNull() & tag(text, "Date").isNotNull()
-    return F.coalesce(link_key(text), F.when(complete, parts))
+    return F.coalesce(link_key(text), _joined(text, ["Site", "Date", "White", "Black", "WhiteElo", "BlackElo"], ["White", "Black", "Date"]))
 
 
 def archive_key(text: Column) -> Column:
     """The link, else players, date and time; null (dropped) where any is missing."""
-    names = ("White", "Black", "Date", "UTCTime")
-    complete = F.lit(True)
-    for name in names:
-        complete = complete & tag(text, name).isNotNull()
-    return F.coalesce(link_key(text), F.when(complete, F.lower(F.concat_ws("-", *(_known(text, name) for name in names)))))
+    names = ["White", "Black", "Date", "UTCTime"]
+    return F.coalesce(link_key(text), _joined(text, names, names))
 
 
 def content_key(text: Column) -> Column:
