@@ -25,9 +25,10 @@ def _record(value: Column, start: str) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, "\r\n", "\n"), r"\s+\z", ""))
 
 
-def _texts(reader, path: str, start: str) -> DataFrame:
+def _texts(reader, path: str, start: str, numbered: bool = True) -> DataFrame:
+    seq = F.monotonically_increasing_id() if numbered else F.lit(0).cast("long")
     rows = reader.option("lineSep", "\n" + start).text(path)
-    rows = rows.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), _record(F.col("value"), start).alias("pgn"))
+    rows = rows.select(F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("block"), seq.alias("seq"), _record(F.col("value"), start).alias("pgn"))
     return rows.where(F.col("pgn").isNotNull())
 
 
@@ -37,9 +38,9 @@ def read_pgn(spark: SparkSession, path: str, record_start: str = EVENT) -> DataF
 
 
 def stream_pgn(spark: SparkSession, path: str, record_start: str = EVENT, files_per_batch: int = 100) -> DataFrame:
-    """The same, of files as they arrive."""
+    """The same, of files as they arrive; seq is 0, as streams cannot number their rows."""
     reader = spark.readStream.option("pathGlobFilter", "*.pgn*").option("maxFilesPerTrigger", files_per_batch)
-    return _texts(reader, path, record_start)
+    return _texts(reader, path, record_start, numbered=False)
 
 
 def split_records(text: str, start: str = EVENT) -> list[str]:
