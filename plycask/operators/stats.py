@@ -37,6 +37,11 @@ def position_stats(found: DataFrame, key=hashes.sha_key) -> DataFrame:
     return count_by(found, ["fen"]).select(key(F.col("fen")).alias("hash"), "fen", "occurrence", "white", "black", "draw")
 
 
+def prefixed(table: DataFrame, key=hashes.sha_key) -> DataFrame:
+    """Rows with the hash of their fen in front, in place of any hash they have."""
+    return table.select(key(F.col("fen")).alias("hash"), *(name for name in table.columns if name != "hash"))
+
+
 def ordered(stats: DataFrame) -> DataFrame:
     """By occurrence, the most first, then by the number that the hash is: a total order."""
     return stats.orderBy(F.desc("occurrence"), hashes.numeric(F.col("hash")))

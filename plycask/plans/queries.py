@@ -381,6 +381,11 @@ def city_hash64(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "region").select("r_regionkey", hashes.city_key(text).alias("hash"))
 
 
+@_query(f"SELECT {_sha_sql('p_name')} AS hash, p_partkey, p_name AS fen FROM part")
+def hash_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.prefixed(_table(spark, sf_dir, "part").select(F.lit("old").alias("hash"), "p_partkey", F.col("p_name").alias("fen")))
+
+
 def _normal(fen: str) -> str:
     return " ".join([*fen.split()[:4], "0", "1"])
 
