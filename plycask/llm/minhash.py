@@ -8,10 +8,11 @@ document's horizon, t over the total weight, so that about t = k ln k + 2k darts
 size of the set.  Each dart belongs to one of k coordinates, and the earliest of a coordinate is its
 signature: two documents agree in it with the probability of their weighted Jaccard similarity.
 
-Signatures are cut into bands, and documents that share a band's bucket are candidates.  In a bucket, a few
-pivots at a time are compared with the members of other components, and components are contracted, until
-each bucket either has one component or every pair across components has been compared: no link that
-banding offers is lost, and no bucket is expanded into all its pairs when its members are alike.
+Signatures are cut into bands, and documents that share a band's bucket are candidates.  Each is compared
+with one other first, which joins most of what is alike into components.  Then every bucket that has
+members of several components is gone through for links across them: small buckets as pairs, larger ones
+in blocks, of which a task takes two at a time and gives only links between components.  So no link that
+banding offers is lost, while pairs within a component are never made, and pairs across are never written.
 Links are confirmed on the sets themselves.
 """
 
@@ -32,6 +33,8 @@ from plycask.llm.scratch import Scratch
 from plycask.llm.words import collapse, hash_memo, mix, split_words, word_hashes
 
 _U64 = np.uint64
+#: Members of a bucket up to which its pairs are compared as rows; beyond, in blocks of so many members and shingles.
+SMALL, BLOCK_MEMBERS, BLOCK_SHINGLES = 6, 500, 400_000
 SKETCH = "doc_id long, node long, bands array<long>, shingles array<int>"
 
 
@@ -178,6 +181,74 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFram
     return with_both.where(shared >= similarity * (size_a + size_b - shared)).select("a", "b")
 
 
+def _labels(nodes: DataFrame, merged: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(node, label) after components were merged; before has the labels until then, by default each node's own name."""
+    now = before if before is not None else nodes.select("node", F.col("node").alias("label"))
+    moved = now.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
+    return moved.select("node", F.coalesce("to", "label").alias("label"))
+
+
+def _across_small(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links across the components of buckets of at most SMALL members, pair by pair."""
+    other = members.select("bucket", F.col("node").alias("b"), F.col("label").alias("label_b"))
+    pairs = members.join(other, "bucket").where("node < b AND label <> label_b").select(F.col("node").alias("a"), "b").distinct()
+    return _confirmed(pairs, sets, similarity)
+
+
+def links_between(a: list[tuple[int, int, np.ndarray]], b: list[tuple[int, int, np.ndarray]], similarity: float) -> list[tuple[int, int]]:
+    """For two blocks of (node, label, set) one link for each pair of labels that have any."""
+    values = [np.concatenate([x[2] for x in block]) for block in (a, b)]
+    owners = [np.repeat(np.arange(len(block)), [len(x[2]) for x in block]) for block in (a, b)]
+    shared = np.intersect1d(values[0], values[1])
+    common = np.zeros((len(a), len(b)), np.float32)
+    columns = [np.searchsorted(shared, v) for v in values]
+    present = [np.append(shared, 0)[c] == v for c, v in zip(columns, values, strict=True)]
+    present = [p & (c < len(shared)) for p, c in zip(present, columns, strict=True)]
+    for low in range(0, len(shared), 4096):
+        parts = []
+        for block, owner, column, there in zip((a, b), owners, columns, present, strict=True):
+            here = there & (column >= low) & (column < low + 4096)
+            part = np.zeros((len(block), min(4096, len(shared) - low)), np.float32)
+            part[owner[here], column[here] - low] = 1
+            parts.append(part)
+        common += parts[0] @ parts[1].T
+    sizes = [np.array([len(x[2]) for x in block], np.float64) for block in (a, b)]
+    alike = common >= similarity * (sizes[0][:, None] + sizes[1][None, :] - common.astype(np.float64))
+    labels = [np.array([x[1] for x in block]) for block in (a, b)]
+    found = {}
+    for i, j in zip(*np.nonzero(alike & (labels[0][:, None] != labels[1][None, :])), strict=True):
+        found[labels[0][i], labels[1][j]] = (a[i][0], b[j][0])
+    return list(found.values())
+
+
+def _across_large(members: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """The same for larger buckets, block by block: blocks are bounded in members and bytes, and a task
+    compares two at a time and gives only links between components, never their pairs."""
+    spark = members.sparkSession
+    sized = members.join(sets, "node")
+    weight = sized.groupBy("bucket").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum(F.size("shingles")) / BLOCK_SHINGLES)).alias("blocks"))
+    weight = scratch.save(weight, "weights")
+    dealt = sized.join(weight, "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
+    blocks = scratch.save(dealt.groupBy("bucket", "block").agg(F.collect_list(F.struct("node", "label", "shingles")).alias("rows")), "blocks")
+    pairs = blocks.join(blocks.select("bucket", F.col("block").alias("block_b"), F.col("rows").alias("rows_b")), "bucket").where("block <= block_b").select("rows", "rows_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            links: list[tuple[int, int]] = []
+            for name_a, name_b in zip(batch.column("rows"), batch.column("rows_b"), strict=True):
+                a, b = ([(x["node"].as_py(), x["label"].as_py(), x["shingles"].values.to_numpy(zero_copy_only=False)) for x in block] for block in (name_a, name_b))
+                links += links_between(a, b, similarity)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "4")  # rows of up to a block's size each
+    try:
+        return scratch.save(pairs.mapInArrow(run, "a long, b long"), "large-links")
+    finally:
+        spark.conf.set(setting, before)
+
+
 def classes(docs: DataFrame, near: Near = Near(), scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, node, label): rows with the same label are near-duplicates, directly or by way of others."""
     spark = docs.sparkSession
@@ -193,36 +264,21 @@ def classes(docs: DataFrame, near: Near = Near(), scratch: Scratch | None = None
     sets = scratch.save(sets, "sets")
     scratch.drop("shared")
 
-    # Each node with the first member of one of its buckets; then pivots of the buckets that stay divided.
-    pairs = entries.where("node <> first").groupBy("node").agg(F.min("first").alias("b")).withColumnRenamed("node", "a")
-    labels = None
-    rounds, pivots, done = 0, 0, 0
-    while True:
-        links = scratch.save(_confirmed(pairs, sets, near.similarity), f"links{rounds}")
-        if not links.isEmpty():
-            if labels is not None:
-                of = labels.select(F.col("node"), F.col("label"))
-                links = links.join(of.withColumnsRenamed({"node": "a", "label": "la"}), "a").join(of.withColumnsRenamed({"node": "b", "label": "lb"}), "b").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-            merged = scratch.save(components(links, scratch, f"components{rounds}"), f"merged{rounds}")
-            now = labels if labels is not None else nodes.withColumn("label", F.col("node"))
-            moved = now.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left")
-            labels = scratch.save(moved.select("node", F.coalesce("to", "label").alias("label")), f"labels{rounds}")
-        elif labels is None:
-            labels = scratch.save(nodes.withColumn("label", F.col("node")), f"labels{rounds}")
-        rounds += 1
-        done, pivots = done + pivots, max(2, pivots * 8)
-        # A member is a pivot of the round in which its hash, as a share of one, falls between done and done + pivots members.
-        placed = scratch.save(entries.where(F.col("members") > done).join(labels, "node").select("bucket", "node", "label", "members"), f"placed{rounds}")
-        divided = scratch.save(placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket"), f"divided{rounds}")
-        if divided.isEmpty():
-            break
-        placed = scratch.save(placed.join(divided, "bucket"), f"open{rounds}")
-        share = (F.xxhash64("bucket", "node") / F.lit(2.0**64) + 0.5) * F.col("members")
-        chosen = placed.where((share >= done) & (share < done + pivots)).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-        chosen = scratch.save(chosen, f"pivots{rounds}")
-        across = placed.join(chosen, "bucket").where(F.col("label") != F.col("pivot_label"))
-        pairs = across.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        scratch.drop(f"placed{rounds}")
+    # First each node with the first member of one of its buckets, which joins most of what is alike.
+    first = entries.where("node <> first").groupBy("node").agg(F.min("first").alias("b")).withColumnRenamed("node", "a")
+    links = scratch.save(_confirmed(first, sets, near.similarity), "first-links")
+    labels = scratch.save(_labels(nodes, components(links, scratch, "first"), None), "first-labels")
+    # Then, in buckets that still have several components, every pair across them.
+    placed = scratch.save(entries.select("bucket", "node", "members").join(labels, "node"), "placed")
+    scratch.drop("entries")
+    divided = scratch.save(placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket"), "divided")
+    open_ = scratch.save(placed.join(divided, "bucket"), "open")
+    scratch.drop("placed")
+    links = scratch.save(_across_small(open_.where(F.col("members") <= SMALL), sets, near.similarity).union(_across_large(open_.where(F.col("members") > SMALL), sets, near.similarity, scratch)), "more-links")
+    if not links.isEmpty():
+        of_a, of_b = (labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}")) for x in "ab")
+        between = links.join(of_a, "a").join(of_b, "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+        labels = scratch.save(_labels(nodes, components(between, scratch, "more"), labels), "more-labels")
     scratch.drop("sets")
     found = sketch.select("doc_id", "node").join(labels, "node", "left").select("doc_id", "node", F.coalesce("label", "node").alias("label"))
     return scratch.save(found, "classes")
