@@ -73,7 +73,7 @@ class DartMinHash:
         self.t = k * math.log(k) + 2 * k
 
     def _regions(self, heaviest: float, horizon: float) -> Iterator[tuple[int, float, float, float, float]]:
-        """Number, weights from and to, and ranks from and to of the regions that a set can be hit in."""
+        """Number, weights from and to, and ranks from and to of the regions that sets can be hit in."""
         column, left = 0, 0.0
         while left < heaviest:
             right = 1.0 if column == 0 else 2 * left
@@ -84,41 +84,70 @@ class DartMinHash:
                 row, low = row + 1, high
             column, left = column + 1, right
 
-    def darts(self, elements: np.ndarray, weights: np.ndarray, horizon: float) -> tuple[np.ndarray, np.ndarray]:
-        """Identifiers and ranks of the darts that hit the set below the horizon."""
-        ids, ranks = [], []
-        for number, left, right, low, high in self._regions(float(weights.max()), horizon):
-            cell = mix(elements ^ mix(np.array([(number * 0x9E3779B9 + self.seed) & 0xFFFFFFFFFFFFFFFF], _U64)))
+    def darts(self, elements: np.ndarray, weights: np.ndarray, horizon: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Identifiers and ranks of the darts that hit the elements below their horizons, and the elements' places."""
+        ids, ranks, owners = [np.empty(0, _U64)], [np.empty(0)], [np.empty(0, np.int64)]
+        for number, left, right, low, high in self._regions(float(weights.max()), float(horizon.max())):
+            reached = np.flatnonzero((horizon > low) & (weights > left))
+            cell = mix(elements[reached] ^ mix(np.array([(number * 0x9E3779B9 + self.seed) & 0xFFFFFFFFFFFFFFFF], _U64)))
             count = np.searchsorted(_poisson((right - left) * (high - low)), (cell >> _U64(11)).astype(np.float64) / 2.0**53, side="right")
             some = np.flatnonzero(count)
-            owner = np.repeat(some, count[some])
-            if not len(owner):
-                continue
-            ends = np.cumsum(count[some])
-            which = np.arange(len(owner)) - np.repeat(ends - count[some], count[some])
+            n = count[some]
+            owner = np.repeat(some, n)
+            which = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
             dart = mix(cell[owner] + (which + 1).astype(_U64) * _U64(0x9E3779B97F4A7C15))
             place = mix(dart ^ _U64(0xD1B54A32D192ED03))
             rank = low + (place >> _U64(32)).astype(np.float64) / 2.0**32 * (high - low)
             weight = left + (place & _U64(0xFFFFFFFF)).astype(np.float64) / 2.0**32 * (right - left)
-            hit = (rank < horizon) & (weight < weights[owner])
+            owner = reached[owner]
+            hit = (rank < horizon[owner]) & (weight < weights[owner])
             ids.append(dart[hit])
             ranks.append(rank[hit])
-        if not ids:
-            return np.empty(0, _U64), np.empty(0)
-        return np.concatenate(ids), np.concatenate(ranks)
+            owners.append(owner[hit])
+        return np.concatenate(ids), np.concatenate(ranks), np.concatenate(owners)
+
+    def signatures(self, sets: list[np.ndarray], weights: list[np.ndarray] | None = None) -> np.ndarray:
+        """A row for each set: the earliest dart of each coordinate.  Elements are distinct and not none; weights are positive, 1 by default."""
+        out = np.zeros((len(sets), self.k), _U64)
+        weights = [np.ones(len(x)) for x in sets] if weights is None else weights
+        horizons = [self.t / float(w.sum()) for w in weights]
+        todo = sorted(range(len(sets)), key=lambda i: len(sets[i]))  # sets of like size have like horizons
+        while todo:
+            again = []
+            for group in self._groups(todo, sets):
+                of = np.repeat(np.arange(len(group)), [len(sets[i]) for i in group])
+                ids, ranks, owners = self.darts(np.concatenate([sets[i] for i in group]), np.concatenate([weights[i] for i in group]), np.array([horizons[i] for i in group])[of])
+                slot = of[owners] * self.k + (((ids >> _U64(32)) * _U64(self.k)) >> _U64(32)).astype(np.int64)
+                # The order of positive floats is that of their bits; the lowest of these make room for the dart's place.
+                bits = max(1, int(len(ids)).bit_length())
+                packed = (ranks.view(_U64) >> _U64(bits) << _U64(bits)) | np.arange(len(ids), dtype=_U64)
+                best = np.full(len(group) * self.k, np.iinfo(_U64).max, _U64)
+                np.minimum.at(best, slot, packed)
+                empty = (best == np.iinfo(_U64).max).reshape(len(group), self.k).any(axis=1)
+                done = np.flatnonzero(~empty)
+                first = (best & _U64((1 << bits) - 1)).reshape(len(group), self.k)[done].astype(np.int64)
+                out[np.array(group)[done]] = ids[first]
+                for i in np.array(group)[empty].tolist():  # a coordinate without a dart: throw further
+                    horizons[i] *= 2
+                    again.append(i)
+            todo = again
+        return out
+
+    @staticmethod
+    def _groups(order: list[int], sets: list[np.ndarray]) -> Iterator[list[int]]:
+        """Runs of at most 128 sets and about 100,000 elements."""
+        group, size = [], 0
+        for i in order:
+            if group and (len(group) == 128 or size + len(sets[i]) > 100_000):
+                yield group
+                group, size = [], 0
+            group.append(i)
+            size += len(sets[i])
+        if group:
+            yield group
 
     def signature(self, elements: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
-        """The earliest dart of each coordinate.  elements are distinct and not empty; weights are positive, 1 by default."""
-        weights = np.ones(len(elements)) if weights is None else weights
-        horizon = self.t / float(weights.sum())
-        while True:
-            ids, ranks = self.darts(elements, weights, horizon)
-            order = np.argsort(ranks, kind="stable")
-            coordinate = ((ids >> _U64(32)) * _U64(self.k)) >> _U64(32)
-            found, first = np.unique(coordinate[order], return_index=True)
-            if len(found) == self.k:
-                return ids[order][first]
-            horizon *= 2  # a coordinate without a dart: throw further
+        return self.signatures([elements], None if weights is None else [weights])[0]
 
 
 def shingles(words: list[str], size: int, memo) -> np.ndarray:
@@ -133,11 +162,12 @@ def shingles(words: list[str], size: int, memo) -> np.ndarray:
     return np.unique(total)
 
 
-def _bands(signature: np.ndarray, near: Near) -> np.ndarray:
-    rows = signature.reshape(near.bands, near.rows)
-    key = np.arange(near.bands, dtype=_U64)
+def _bands(signatures: np.ndarray, near: Near) -> np.ndarray:
+    """The keys of all bands, a row for each signature."""
+    rows = signatures.reshape(len(signatures), near.bands, near.rows)
+    key = np.broadcast_to(np.arange(near.bands, dtype=_U64), rows.shape[:2])
     for i in range(near.rows):
-        key = mix(key * _U64(31) + rows[:, i])
+        key = mix(key * _U64(31) + rows[:, :, i])
     return key.view(np.int64)
 
 
@@ -154,11 +184,12 @@ def sketches(docs: DataFrame, near: Near) -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
-                bands, sets = [], []
-                for text in batch.column("text").to_pylist():
-                    elements = shingles(split_words(text), near.words, memo)
-                    bands.append(_bands(hasher.signature(elements), near) if len(elements) else np.empty(0, np.int64))
-                    sets.append(np.unique(elements >> _U64(32)).astype(np.uint32).view(np.int32))
+                elements = [shingles(split_words(text), near.words, memo) for text in batch.column("text").to_pylist()]
+                some = [i for i, x in enumerate(elements) if len(x)]
+                bands = [np.empty(0, np.int64)] * len(elements)
+                for i, keys in zip(some, _bands(hasher.signatures([elements[i] for i in some]), near), strict=True):
+                    bands[i] = keys
+                sets = [np.unique(x >> _U64(32)).astype(np.uint32).view(np.int32) for x in elements]
                 lists = [
                     pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), pa.array(np.concatenate([np.empty(0, kind), *values]).astype(kind)))
                     for values, kind in ((bands, np.int64), (sets, np.int32))
