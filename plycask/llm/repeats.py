@@ -34,8 +34,12 @@ WHOLE, SENT, UNSETTLED, HOT = 1, 2, 3, 8
 #: Units that are hashed together; longer texts are cut with an overlap of a window, which only splits segments.
 GROUP = 1 << 19
 
+#: Most names, and segments, of an anchor that come together in a task at a time.
+NAMES, SEGMENTS = 20_000, 200
+
+FOUND = "node long, twin long, start long, stop long"
 OCCURRENCES = "node long, anchor long, content long, n int"
-SECOND = "kind string, doc_id long, node long, twin long, text string, n_units long, spans binary, sha string, anchor long, content long, first long, ahead int, windows int, units binary, name long, place long"
+SECOND = "kind string, doc_id long, node long, twin long, text string, n_units long, spans binary, sha string, anchor long, content long, first long, windows int, units binary, name long"
 
 
 @dataclass(frozen=True)
@@ -186,7 +190,7 @@ def send(docs: DataFrame, flags: DataFrame, measure: Measure, scratch: Scratch,
                 opened = np.flatnonzero(state & 7 >= SENT)
                 one = opened[(state[opened] & HOT) != 0] if measure.raw else opened
                 if len(one):
-                    yield _windows(one, s, ladder, shift, nodes[at:], twins[at:], measure)
+                    yield from _windows(one, s, ladder, shift, state, nodes[at:], twins[at:], measure)
                 if measure.raw and len(rest := opened[(state[opened] & HOT) == 0]):
                     yield _segments(rest, s, shift, state, nodes[at:], twins[at:], measure.raw(texts[at : at + len(lengths)]), starts, offsets, window)
             spans = [spans_of(*np.array(x).T) if x else np.empty((0, 2), np.int64) for x in known]
@@ -198,15 +202,20 @@ def send(docs: DataFrame, flags: DataFrame, measure: Measure, scratch: Scratch,
     return scratch.save(joined.mapInArrow(run, SECOND), "second", ["kind"])
 
 
-def _windows(which: np.ndarray, s: Segments, ladder: Ladder, shift: np.ndarray, nodes: np.ndarray, twins: np.ndarray, measure: Measure) -> pa.RecordBatch:
+def _windows(which: np.ndarray, s: Segments, ladder: Ladder, shift: np.ndarray, state: np.ndarray, nodes: np.ndarray, twins: np.ndarray, measure: Measure) -> Iterator[pa.RecordBatch]:
+    """The names of all windows of open segments, one a row, to be counted; and those of the unsettled ones again, a segment a row, to be looked up."""
     n = s.last[which] - s.first[which] + 1
+    ends = np.cumsum(n)
     owner = np.repeat(which, n)
-    place = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + s.first[owner]
-    names = ladder.spans(place, measure.shape.window)
-    of = s.sequence[owner]
-    return _second(
-        len(owner), "wins", node=pa.array(nodes[of]), twin=pa.array(twins[of]), anchor=pa.array(s.anchor[owner].view(np.int64)), content=pa.array(s.content[owner].view(np.int64)), name=pa.array(names.view(np.int64)), place=pa.array(place + shift[owner])
-    )
+    place = np.arange(len(owner)) - np.repeat(ends - n, n) + s.first[owner]
+    names = ladder.spans(place, measure.shape.window).view(np.int64)
+    yield _second(len(owner), "wins", anchor=pa.array(s.anchor[owner].view(np.int64)), content=pa.array(s.content[owner].view(np.int64)), name=pa.array(names))
+    wanted = np.flatnonzero(state[which] & 7 == UNSETTLED)
+    if len(wanted):
+        one = which[wanted]
+        blobs = [names[a:b].tobytes() for a, b in zip((ends - n)[wanted].tolist(), ends[wanted].tolist(), strict=True)]
+        of = s.sequence[one]
+        yield _second(len(one), "opens", node=pa.array(nodes[of]), twin=pa.array(twins[of]), anchor=pa.array(s.anchor[one].view(np.int64)), first=pa.array(s.first[one] + shift[one]), units=blobs)
 
 
 def _segments(which: np.ndarray, s: Segments, shift: np.ndarray, state: np.ndarray, nodes: np.ndarray, twins: np.ndarray, raw: bytes, starts: np.ndarray, offsets: np.ndarray, window: int) -> pa.RecordBatch:
@@ -217,16 +226,46 @@ def _segments(which: np.ndarray, s: Segments, shift: np.ndarray, state: np.ndarr
     first = np.where(state[which] & 7 == UNSETTLED, s.first[which] + shift[which], -1)
     return _second(
         len(which), "segs", node=pa.array(nodes[of]), twin=pa.array(twins[of]), anchor=pa.array(s.anchor[which].view(np.int64)), content=pa.array(s.content[which].view(np.int64)),
-        first=pa.array(first), ahead=pa.array((s.place[which] - s.first[which]).astype(np.int32)), windows=pa.array((s.last[which] - s.first[which] + 1).astype(np.int32)), units=units,
+        first=pa.array(first), windows=pa.array((s.last[which] - s.first[which] + 1).astype(np.int32)), units=units,
     )
 
 
+def _dealt(rows: DataFrame, most: int, *salt: str) -> DataFrame:
+    """rows of an anchor in parts of about most rows each."""
+    parts = rows.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
+    return rows.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64(*salt), F.col("parts")))
+
+
 def repeated_windows(second: DataFrame, measure: Measure, scratch: Scratch) -> DataFrame:
-    """(node, twin, start, stop) of the windows sent one by one that other contents of their anchor have too."""
-    wins = second.where("kind = 'wins'").select("anchor", "name", "content", "node", "twin", "place")
+    """(node, twin, start, stop) of runs of windows, in the segments sent window by window, that other contents of their anchor have too.
+
+    An anchor's repeated names and its unsettled segments come together as lists of bounded length, part by part.
+    """
+    wins = second.where("kind = 'wins'").select("anchor", "name", "content")
     shared = wins.groupBy("anchor", "name").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low <> high").select("anchor", "name")
     shared = scratch.save(shared, "shared")
-    return wins.join(shared, ["anchor", "name"]).select("node", "twin", F.col("place").alias("start"), (F.col("place") + measure.shape.window).alias("stop"))
+    names = _dealt(shared, NAMES, "name").groupBy("anchor", "part").agg(F.collect_list("name").alias("names"))
+    opens = second.where("kind = 'opens'").select("anchor", "node", "twin", "first", "units")
+    packs = _dealt(opens, SEGMENTS, "node", "first").groupBy("anchor", "part").agg(F.collect_list(F.struct("node", "twin", "first", "units")).alias("rows"))
+    pairs = scratch.save(packs, "packs").select("anchor", "rows").join(scratch.save(names, "names").select("anchor", "names"), "anchor").select("rows", "names")
+    window = measure.shape.window
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int, int]] = []
+            for rows, listed in zip(batch.column("rows").to_pylist(), batch.column("names"), strict=True):
+                wanted = np.sort(listed.values.to_numpy(zero_copy_only=False))
+                for row in rows:
+                    names = np.frombuffer(row["units"], np.int64)
+                    hit = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, names), len(wanted) - 1)] == names)
+                    if len(hit):
+                        cut_ = np.flatnonzero(np.diff(hit) > 1)
+                        starts, stops = hit[np.append(0, cut_ + 1)], hit[np.append(cut_, len(hit) - 1)]
+                        out += [(row["node"], row["twin"], row["first"] + a, row["first"] + b + window) for a, b in zip(starts.tolist(), stops.tolist(), strict=True)]
+            columns = list(zip(*out, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "twin", "start", "stop"])
+
+    return pairs.mapInArrow(run, FOUND)
 
 
 def with_spans(second: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:

@@ -28,7 +28,6 @@ from plycask.llm.segments import Ladder, Shape
 from plycask.llm.words import mix
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-_FOUND = "node long, twin long, start long, stop long"
 #: A 64-bit hash of each byte.
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -139,7 +138,7 @@ def _compared(segs: DataFrame, measure: repeats.Measure) -> DataFrame:
                 [pa.array(node[of]), pa.array(twin[of]), pa.array(first[of] + ahead[start]), pa.array(first[of] + ahead[last] + measure.shape.window)], names=["node", "twin", "start", "stop"]
             )
 
-    return segs.repartition("anchor").select("node", "twin", "first", "windows", "units").mapInArrow(run, _FOUND)
+    return segs.repartition("anchor").select("node", "twin", "first", "windows", "units").mapInArrow(run, repeats.FOUND)
 
 
 def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
