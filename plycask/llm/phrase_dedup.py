@@ -83,8 +83,7 @@ def drop_passages(docs: DataFrame, window: int = 35, anchor: int = 8, shard_word
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
+            for batch in repeats.slices(whole):
                 words = [split_words(text) for text in batch.column("text").to_pylist()]
                 number: dict[str, int] = {}
                 texts = [tuple([number.setdefault(word, len(number)) for word in x]) for x in words]

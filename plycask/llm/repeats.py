@@ -19,9 +19,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -85,7 +87,7 @@ def occurrences(docs: DataFrame, measure: Measure) -> DataFrame:
     """Segments of every text, equal ones of a text as one row with their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(slices, batches)):
             nodes = batch.column("node").to_numpy(zero_copy_only=False)
             texts = batch.column("text").to_pylist()
             for at, _, _, _, _, s in pieces(texts, measure):
@@ -146,7 +148,7 @@ def send(docs: DataFrame, flags: DataFrame, measure: Measure, scratch: Scratch,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         window = measure.shape.window
-        for whole in batches:
+        for whole in chain.from_iterable(map(slices, batches)):
             flagged = np.array(whole.column("flags").is_valid())
             plain = whole.filter(pa.array(~flagged))
             if plain.num_rows:
@@ -285,5 +287,16 @@ def all_spans(batch: pa.RecordBatch) -> list[np.ndarray]:
     return out
 
 
+def slices(whole: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with texts of about most bytes together, or a single row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < whole.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield whole.slice(at, stop - at)
+        at = stop
+
+
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -180,7 +181,7 @@ def drop_repeats(docs: DataFrame, window: int = 200, anchor: int = 32, hot: int
     some, none = repeated_spans(docs, window, anchor, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in chain.from_iterable(map(repeats.slices, batches)):
             rows = []
             for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), repeats.all_spans(batch), strict=True):
                 data = text.encode()
