@@ -235,7 +235,8 @@ def _segments(which: np.ndarray, s: Segments, shift: np.ndarray, state: np.ndarr
 def _dealt(rows: DataFrame, most: int, *salt: str) -> DataFrame:
     """rows of an anchor in parts of about most rows each."""
     parts = rows.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
-    return rows.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64(*salt), F.col("parts")))
+    dealt = rows.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64(*salt), F.col("parts")))
+    return dealt.repartition("anchor", "part")  # else the join's partitions by anchor would do for the grouping, with all parts in a task
 
 
 def repeated_windows(second: DataFrame, measure: Measure, scratch: Scratch) -> DataFrame:
