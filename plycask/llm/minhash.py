@@ -11,7 +11,7 @@ signature: two documents agree in it with the probability of their weighted Jacc
 Signatures are cut into bands, and documents that share a band's bucket are candidates.  Each is compared
 with one other first, which joins most of what is alike into components.  Then every bucket that has
 members of several components is gone through for links across them: small buckets as pairs, larger ones
-in blocks, of which a task takes two at a time and gives only links between components.  So no link that
+in blocks, of which a task takes two at a time and gives just enough links to connect components.  So no link that
 banding offers is lost, while pairs within a component are never made, and pairs across are never written.
 Links are confirmed on the sets themselves.
 """
@@ -227,7 +227,7 @@ def _across_small(members: DataFrame, sets: DataFrame, similarity: float) -> Dat
 
 
 def links_between(a: list[tuple[int, int, np.ndarray]], b: list[tuple[int, int, np.ndarray]], similarity: float) -> list[tuple[int, int]]:
-    """For two blocks of (node, label, set) one link for each pair of labels that have any."""
+    """For two blocks of (node, label, set) as many links as it takes to connect all labels that links connect."""
     values = [np.concatenate([x[2] for x in block]) for block in (a, b)]
     owners = [np.repeat(np.arange(len(block)), [len(x[2]) for x in block]) for block in (a, b)]
     shared = np.intersect1d(values[0], values[1])
@@ -245,21 +245,41 @@ def links_between(a: list[tuple[int, int, np.ndarray]], b: list[tuple[int, int,
         common += parts[0] @ parts[1].T
     sizes = [np.array([len(x[2]) for x in block], np.float64) for block in (a, b)]
     alike = common >= similarity * (sizes[0][:, None] + sizes[1][None, :] - common.astype(np.float64))
-    labels = [np.array([x[1] for x in block]) for block in (a, b)]
-    found = {}
-    for i, j in zip(*np.nonzero(alike & (labels[0][:, None] != labels[1][None, :])), strict=True):
-        found[labels[0][i], labels[1][j]] = (a[i][0], b[j][0])
-    return list(found.values())
+    names, number = np.unique([x[1] for block in (a, b) for x in block], return_inverse=True)
+    of_a, of_b = number[: len(a)], number[len(a) :]
+    in_a, in_b = ([np.flatnonzero(of == label) for label in range(len(names))] for of in (of_a, of_b))
+    # A walk over the labels, from each to those it has a link with and that were not reached yet.
+    reached = np.zeros(len(names), bool)
+    found = []
+    for start in range(len(names)):
+        stack = [] if reached[start] else [start]
+        reached[start] = True
+        while stack:
+            label = stack.pop()
+            for i in in_a[label]:
+                for j in np.flatnonzero(alike[i] & ~reached[of_b]):
+                    if not reached[of_b[j]]:
+                        reached[of_b[j]] = True
+                        stack.append(of_b[j])
+                        found.append((a[i][0], b[j][0]))
+            for j in in_b[label]:
+                for i in np.flatnonzero(alike[:, j] & ~reached[of_a]):
+                    if not reached[of_a[i]]:
+                        reached[of_a[i]] = True
+                        stack.append(of_a[i])
+                        found.append((a[i][0], b[j][0]))
+    return found
 
 
 def _across_large(members: DataFrame, sets: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
     """The same for larger buckets, block by block: blocks are bounded in members and bytes, and a task
-    compares two at a time and gives only links between components, never their pairs."""
+    compares two at a time and gives a forest of links between components, never their pairs."""
     spark = members.sparkSession
     sized = members.join(sets, "node")
     weight = sized.groupBy("bucket").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_MEMBERS, F.sum(F.size("shingles")) / BLOCK_SHINGLES)).alias("blocks"))
     weight = scratch.save(weight, "weights")
     dealt = sized.join(weight, "bucket").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")))
+    dealt = dealt.repartition("bucket", "block")  # else the join's partitions by bucket would do for the grouping, with all blocks in a task
     blocks = scratch.save(dealt.groupBy("bucket", "block").agg(F.collect_list(F.struct("node", "label", "shingles")).alias("rows")), "blocks")
     pairs = blocks.join(blocks.select("bucket", F.col("block").alias("block_b"), F.col("rows").alias("rows_b")), "bucket").where("block <= block_b").select("rows", "rows_b")
 
