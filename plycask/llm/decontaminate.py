@@ -6,7 +6,8 @@ each list knows the largest contribution in a block.  Passages are overlapping w
 longest item, so each item lies whole in one of them.  For all passages at once, the block maxima of their
 distinct terms are added up; where no block can reach the threshold nothing can be retrieved.  In the others,
 block-max WAND retrieves every item above the threshold.  A retrieved item is a leak when both its question
-and its answer overlap with the passage.
+and its answer overlap with the passage.  An item of prose, which marks neither, is also a leak when enough of
+its tokens lie in n-grams that the passage has, wherever they stand: a copy that stops early or differs in a word.
 
 The index is broadcast, in shards of a bounded number of bytes: a larger benchmark takes more passes over
 the documents, not larger executors.
@@ -37,10 +38,11 @@ _NO_ITEM = 1 << 60
 
 @dataclass(frozen=True)
 class Leak:
-    """score: least share of the item's own BM25 score; overlap: least share of n-grams of question and of answer; shard_bytes: of the items' text in a broadcast index."""
+    """score: least share of the item's own BM25 score; overlap: least share of n-grams of question and of answer; covered: least share of a prose item's tokens in shared n-grams; shard_bytes: of the items' text in a broadcast index."""
 
     score: float = 0.5
     overlap: float = 0.5
+    covered: float = 2 / 3
     ngram: int = 5
     k1: float = 1.2
     b: float = 0.75
@@ -52,14 +54,22 @@ def tokens(text: str | None) -> list[str]:
     return _TOKENS.findall(text.lower()) if text else []
 
 
-def question_and_answer(text: str) -> tuple[list[str], list[str]]:
-    """An item's parts: the answer is what follows `answer:` or the last question mark, else the last sentence, else the last quarter."""
+def marked_parts(text: str) -> tuple[list[str], list[str]] | None:
+    """Question and answer of an item that marks them: the answer follows `answer:` or the last question mark."""
     marked = re.split(r"(?i)\banswer\s*:", text, maxsplit=1)
     if len(marked) == 2 and tokens(marked[0]) and tokens(marked[1]):
         return tokens(marked[0]), tokens(marked[1])
     asked, _, answer = text.rpartition("?")
     if tokens(asked) and tokens(answer):
         return tokens(asked), tokens(answer)
+    return None
+
+
+def question_and_answer(text: str) -> tuple[list[str], list[str]]:
+    """An item's parts: as marked, else the answer is the last sentence, else the last quarter."""
+    marked = marked_parts(text)
+    if marked:
+        return marked
     sentences = [sentence for sentence in _SENTENCE_END.split(text) if tokens(sentence)]
     if len(sentences) > 1:
         last = tokens(sentences[-1])
@@ -102,6 +112,8 @@ class BlockMaxIndex:
         self.of_block = np.array([block for best in self.block_max for block in best], np.int64)
         self.maximum = np.array([score for best in self.block_max for score in best.values()])
         self.parts = [tuple([self.vocabulary[t] for t in part] for part in question_and_answer(text)) for _, text in kept]
+        #: The ids of a prose item; none for one that marks question and answer.
+        self.prose = [[] if marked_parts(text) else [self.vocabulary[t] for t in tokens(text)] for _, text in kept]
         self.stride = max((sum(count.values()) for count in counts), default=1)
 
     def reachable(self, window: np.ndarray, term: np.ndarray, windows: int) -> np.ndarray:
@@ -156,6 +168,19 @@ class BlockMaxIndex:
         there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}
         return len(grams & there) / len(grams)
 
+    def covered(self, item: list[int], passage: list[int]) -> float:
+        """The share of the item's tokens that lie in n-grams which the passage has; 0 of no tokens."""
+        if not item:
+            return 0.0
+        n = min(self.how.ngram, len(item))
+        there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}
+        shared, end = 0, 0
+        for i in range(len(item) - n + 1):
+            if tuple(item[i : i + n]) in there:
+                shared += i + n - max(i, end)
+                end = i + n
+        return shared / len(item)
+
     def leaks(self, texts: list[str], memo: Memo) -> list[dict[int, tuple[float, float, float]]]:
         """For each text the items it leaks: the best passage's score and overlaps."""
         found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
@@ -199,7 +224,8 @@ class BlockMaxIndex:
             passage = all_ids[start : start + 2 * s]
             for item, score in retrieved:
                 question, answer = (self.overlap(part, passage) for part in self.parts[item])
-                if question >= self.how.overlap and answer >= self.how.overlap:
+                both = question >= self.how.overlap and answer >= self.how.overlap
+                if both or self.covered(self.prose[item], passage) >= self.how.covered - 1e-9:
                     best = found[at].get(item)
                     if best is None or score > best[0]:
                         found[at][item] = (score, question, answer)
@@ -246,7 +272,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Leak = Leak()) ->
     """One row for each document and test item that it leaks.
 
     Columns: doc_id, item_id, score (of the best passage, as a share of the item's own), question_overlap
-    and answer_overlap (shares of their n-grams).  Null texts leak nothing, null or empty items are not
+    and answer_overlap (shares of their n-grams; of a prose item, found by its tokens as a whole, either may be
+    small).  Null texts leak nothing, null or empty items are not
     looked for; null ids stay null; repeated rows each give their rows; empty tables give none.  Only
     doc_id and text, item_id and text are read.  One narrow stage for each shard of the index.
     """

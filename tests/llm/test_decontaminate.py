@@ -78,3 +78,22 @@ def test_every_item_of_the_test_table_that_is_there(spark):
     items = [(r.item_id, r.text) for r in benchmark.collect()]
     wanted = {(r.doc_id, i) for r in docs.collect() for i, text in items if text in r.text}
     assert {(r.doc_id, r.item_id) for r in contamination(docs, benchmark).collect()} == wanted and wanted
+
+
+def test_prose_cut_short_or_with_a_word_changed(spark):
+    benchmark = spark.createDataFrame([(*x, "s") for x in ITEMS], BENCHMARK)
+    short = [(100 + i, f"{sentence(14 + i)}. {sentence(3)}.") for i in range(20)]  # the last sentence is less than an n-gram
+    marked = [(200, f"{sentence(24)}? {sentence(8)}."), (201, f"{sentence(24)}. Answer: {sentence(8)}")]
+    rows, wanted = [], set()
+    for item_id, text in short:
+        words = text.split()
+        rows.append((item_id, f"{sentence(80)} {text.split('.')[0]} {sentence(80)}"))
+        for at in (0, len(words) // 2, len(words) - 1):
+            rows.append((1000 * (at + 1) + item_id, f"{sentence(80)} {' '.join(words[:at] + ['changed'] + words[at + 1 :])} {sentence(80)}"))
+    wanted = {(doc_id, doc_id % 1000) for doc_id, _ in rows}
+    rows += [(900 + i, f"{sentence(80)} {' '.join(text.split()[: len(text.split()) // 2])} {sentence(80)}") for i, (_, text) in enumerate(short)]
+    rows += [(950 + i, f"{sentence(80)} {text.replace('Answer:', '?').split('?')[0]} {sentence(80)}") for i, (_, text) in enumerate(marked)]
+    benchmark = benchmark.union(spark.createDataFrame([(*x, "s") for x in short + marked], BENCHMARK))
+    docs = documents(spark, rows)
+    assert {(r.doc_id, r.item_id) for r in contamination(docs, benchmark).collect()} == wanted
+    assert {r.doc_id for r in drop_contaminated(docs, benchmark).collect()} == {doc_id for doc_id, _ in rows} - {doc_id for doc_id, _ in wanted}
