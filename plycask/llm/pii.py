@@ -5,7 +5,8 @@ reveals an entity is then estimated from all documents: the pointwise mutual inf
 log2(n(term, entity) n / (n(term) n(entity))), against the information of the entity itself,
 log2(n / n(entity)).  A term that supplies at least ``disclosure`` of that information, in at least
 ``support`` documents, is a span too in every document that has both; ``sanitise`` generalises identifiers
-to their kind and removes such terms.
+to their kind and removes such terms.  Terms are the runs of letters, marks and digits outside the checked
+identifiers, of any length but for short words of lower-case ASCII letters (``min_letters``).
 
 Everything is built from DataFrame functions.  Positions come from marking the matches in the text with
 two private-use characters (those of the text itself are replaced first, one for one) and adding up the
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from plycask.llm.scratch import Scratch
 
 _OPEN, _CLOSE, _OTHER = "\ue000", "\ue001", "\ue002"
+_IN_TERM = r"\p{L}\p{M}\p{N}"
 TERM = "term"
 
 #: Kind and pattern; \G lets a match start where the one before it ended.
@@ -37,11 +39,11 @@ KINDS = list(PATTERNS)
 
 @dataclass(frozen=True)
 class Disclosure:
-    """support: documents that must have a term and an entity both; disclosure: share of the entity's information that the term gives; min_letters: of a term."""
+    """support: documents that must have a term and an entity both; disclosure: share of the entity's information that the term gives; min_letters: of a term of lower-case ASCII letters alone."""
 
     support: int = 3
     disclosure: float = 0.9
-    min_letters: int = 4
+    min_letters: int = 3
 
 
 def _no_spans() -> Column:
@@ -120,17 +122,35 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return found.withColumn("entities", F.array_distinct(every))
 
 
-def _terms(clean: Column, least: int) -> Column:
-    """The distinct words of letters outside what the patterns match."""
-    for pattern in PATTERNS.values():
-        clean = F.regexp_replace(clean, pattern, " ")
-    return F.array_distinct(F.filter(F.split(clean, r"[^\p{L}]+"), lambda word: F.length(word) >= least))
+def _masked(clean: Column, identifiers: Column) -> Column:
+    """The text with a private-use character for each of the identifiers' characters.
+
+    Cut in UTF-32, where a place is found without reading what stands before it.
+    """
+    wide = F.encode(clean, "UTF-32")
+    cut = lambda at, n: F.decode(F.substring(wide, 4 * at + 1, 4 * n), "UTF-32")
+
+    def step(done: Column, span: Column) -> Column:
+        end = span["start"] + F.length(span["value"])
+        gap = F.when(span["start"] > done["at"], cut(done["at"], span["start"] - done["at"])).otherwise("")
+        hidden = F.repeat(F.lit(_OTHER), F.greatest(end - F.greatest(span["start"], done["at"]), F.lit(0)))
+        return F.struct(F.greatest(end, done["at"]).alias("at"), F.concat(done["parts"], F.array(gap, hidden)).alias("parts"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+    whole = F.aggregate(F.array_sort(identifiers), start, step, lambda done: F.concat(F.array_join(done["parts"], ""), cut(done["at"], F.length(clean))))
+    return F.when(F.size(identifiers) > 0, whole).otherwise(clean)
+
+
+def _terms(masked: Column, least: int) -> Column:
+    """The distinct terms of a text without identifiers."""
+    runs = F.split(masked, f"[^{_IN_TERM}]+")
+    return F.array_distinct(F.filter(runs, lambda run: (F.length(run) > 0) & ~((F.length(run) < least) & run.rlike("^[a-z]+$"))))
 
 
 def disclosing_terms(found: DataFrame, scratch: Scratch, how: Disclosure) -> DataFrame:
     """For documents with an entity and a term that reveals it: id, hash (which together name a document's text) and terms.
 
-    found has id, hash, entities, clean (null where there is no entity) and vocabulary (hashes of the distinct
+    found has id, hash, entities, clean (masked; null where there is no entity) and vocabulary (hashes of the distinct
     terms of every document, for counting).
     """
     documents = found.count()
@@ -164,27 +184,25 @@ def personal_data(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession, "pii")
     found = base_spans(docs)
+    found = found.withColumn("masked", _masked(F.col("clean"), F.concat(*(F.col(kind) for kind in KINDS))))
     found = found.select(
         "doc_id",
         F.coalesce("doc_id", F.lit(-(2**63))).alias("id"),
         F.xxhash64("clean").alias("hash"),
         *KINDS,
         "entities",
-        F.when(F.size("entities") > 0, F.col("clean")).alias("clean"),
-        F.transform(_terms(F.col("clean"), how.min_letters), lambda word: F.xxhash64(word)).alias("vocabulary"),
+        F.when(F.size("entities") > 0, F.col("masked")).alias("clean"),
+        F.transform(_terms(F.col("masked"), how.min_letters), lambda word: F.xxhash64(word)).alias("vocabulary"),
     )
     found = scratch.save(found, "found")
     terms = disclosing_terms(found, scratch, how)
-    # Terms are letters only, so they stand in a pattern as they are.
-    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
+    # Terms have nothing that means something in a pattern.
+    pattern = F.concat(F.lit(f"(?<![{_IN_TERM}])(?:"), F.array_join("terms", "|"), F.lit(f")(?![{_IN_TERM}])"))
     marked = F.split(F.regexp_replace("clean", pattern, F.lit(f"{_OPEN}$0{_CLOSE}")), _OPEN)
     located = terms.select("id", "hash", marked.alias("parts")).select("id", "hash", _added_up(F.col("parts")).alias("places"))
     located = scratch.save(located, "located")
     whole = found.select("doc_id", "id", "hash", *KINDS).join(located, ["id", "hash"], "left")
-    identifiers = F.concat(*(F.col(kind) for kind in KINDS))
-    end = lambda span: span["start"] + F.length(span["value"])
-    apart = F.filter("places", lambda place: ~F.exists(identifiers, lambda span: (span["start"] < end(place)) & (place["start"] < end(span))))
-    return whole.select("doc_id", *KINDS, F.coalesce(apart, _no_spans()).alias("revealing"))
+    return whole.select("doc_id", *KINDS, F.coalesce("places", _no_spans()).alias("revealing"))
 
 
 def digest(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:

@@ -87,3 +87,20 @@ def test_threshold(spark, share, revealed):
     rows = [(i, "Quorum met at q@example.org") for i in range(4)] + [(50 + i, "Quorum met") for i in range(4)] + [(100 + i, "nothing here") for i in range(56)]
     found = pii.personal_data(documents(spark, rows), pii.Disclosure(disclosure=share)).where("doc_id = 0").head()
     assert bool(found.revealing) == revealed
+
+
+def test_terms_of_any_length_and_script(spark):
+    terms = ["Ann", "Wu", "李明", "user7", "48213", "हिन्दी", "Jose\u0301", "kim"]
+    text = "😀 " + ", ".join(terms) + "; 4111 1111 1111 1111x +49 30 1234567@mail.example.org at 12"
+    rows = [(i, text) for i in range(4)] + [(10 + i, "at 12 others x") for i in range(40)]
+    spans = {r.doc_id: r.revealing for r in pii.personal_data(documents(spark, rows)).collect()}
+    assert [(s.start, s.value) for s in spans[0]] == [(text.index(term), term) for term in terms]
+    assert all(not spans[10 + i] for i in range(40))
+    clean = pii.digest(documents(spark, rows)).where("doc_id = 0").select(pii.sanitise(F.lit(text), F.col("spans")).alias("x")).head().x
+    assert not any(term in clean for term in terms) and "1234567" not in clean
+
+
+def test_terms_beside_an_identifier(spark):
+    rows = [(i, f"4111 1111 1111 1111Zeb 1111 {'1.2.3.4 ' * 3000}") for i in range(3)] + [(10 + i, "others") for i in range(40)]
+    spans = pii.personal_data(documents(spark, rows)).where("doc_id = 0").head().revealing
+    assert [(s.start, s.value) for s in spans] == [(19, "Zeb"), (23, "1111")]
