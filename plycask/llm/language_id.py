@@ -6,15 +6,16 @@ document frequency.  A multinomial logistic regression learns from them by follo
 with an elastic-net penalty, which leaves most weights at exactly zero.  A temperature, fitted on rows
 held back from training, then scales the scores so that the probability of the prediction is calibrated.
 
-Fitting takes a bounded sample (``max_train_docs``, spread evenly over the labels, of texts up to
-``max_train_chars``; longer ones are left out, not cut).  Predictions read every text whole.
+Every label is learned.  Fitting takes a bounded sample of each (an even share of ``max_train_docs``, but
+``min_label_docs`` at least, of texts up to ``max_train_chars``; longer ones are left out, not cut).  A label
+without a text that short gives its ``min_label_docs`` shortest.  Predictions read every text whole.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,13 @@ _PLACES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 @dataclass(frozen=True)
 class Fit:
-    """max_labels and max_train_docs bound the sample, 1 << bits the features."""
+    """max_train_docs and min_label_docs bound the sample, 1 << bits the features; with so many labels that there were more than max_weights, there are fewer features."""
 
     max_train_docs: int = 2_000
+    min_label_docs: int = 8
     max_train_chars: int = 20_000
-    max_labels: int = 64
     bits: int = 17
+    max_weights: int = 1 << 24
     epochs: int = 2
     alpha: float = 0.5
     beta: float = 0.05
@@ -87,21 +89,25 @@ class LanguageModel:
 
     @classmethod
     def train(cls, texts: list[str], labels: list[str], fit: Fit = Fit()) -> "LanguageModel":
-        """The order of the rows decides nothing but the order of the updates; every fifth row is held back for the temperature."""
+        """The order of the rows decides nothing but the order of the updates; every fifth row, unless it is the first of its label, is held back for the temperature."""
         names = sorted(set(labels))
-        size, k = 1 << fit.bits, len(names)
+        k = len(names)
+        fit = replace(fit, bits=max(1, min(fit.bits, (fit.max_weights // k).bit_length() - 1)))
+        size = 1 << fit.bits
+        number = {name: i for i, name in enumerate(names)}
         rows, targets = [], []
         df = np.zeros(size)
         for text, label in zip(texts, labels, strict=True):
             found, counts = np.unique(features_of(text, fit.bits), return_counts=True)
             if len(found):
                 rows.append((found, counts / counts.sum()))
-                targets.append(names.index(label))
+                targets.append(number[label])
                 df[found] += 1
         idf = np.log((1 + len(rows)) / (1 + df)) + 1
         rows = [(found, share * idf[found] * fit.scale) for found, share in rows]
-        held = [i for i in range(len(rows)) if i % 5 == 4]
-        learn = [i for i in range(len(rows)) if i % 5 != 4]
+        first = {targets[i]: i for i in reversed(range(len(rows)))}
+        held = [i for i in range(len(rows)) if i % 5 == 4 and first[targets[i]] != i]
+        learn = [i for i in range(len(rows)) if i % 5 != 4 or first[targets[i]] == i]
         z, n, bias = np.zeros((size, k)), np.zeros((size, k)), np.zeros(k)
 
         def weights(at: np.ndarray | slice) -> np.ndarray:
@@ -122,10 +128,12 @@ class LanguageModel:
                 z[found] += g - sigma * w
                 n[found] = n_now + g * g
                 bias -= 0.02 / (1 + epoch) * p
-        w = weights(slice(None))
-        scores = np.array([x @ w[found] + bias for found, x in (rows[i] for i in held)]).reshape(-1, k)
+        table = np.empty((size, k), np.float32)
+        for at in range(0, size, step := max(1, (1 << 20) // k)):
+            table[at : at + step] = weights(slice(at, at + step)) * idf[at : at + step, None] * fit.scale
+        scores = np.array([x @ weights(found) + bias for found, x in (rows[i] for i in held)]).reshape(-1, k)
         wanted = np.array([targets[i] for i in held], int)
-        return cls(names, (w * idf[:, None] * fit.scale).astype(np.float32), bias, cls.calibrate(scores, wanted), fit)
+        return cls(names, table, bias, cls.calibrate(scores, wanted), fit)
 
     @staticmethod
     def calibrate(scores: np.ndarray, wanted: np.ndarray) -> float:
@@ -166,7 +174,9 @@ class ChunkScores:
     """For chunks of text between blanks: the number of n-grams and the sums of their weights; a bounded memory of those seen."""
 
     def __init__(self, model: LanguageModel, limit: int = 500_000):
-        self.model, self.limit = model, limit
+        columns = 1 + len(model.labels)
+        # Chunks remembered, and chunks scored at a time: fewer where a chunk has many scores.
+        self.model, self.limit, self.step = model, min(limit, max(64, (1 << 22) // columns)), max(64, (1 << 19) // columns)
         self.at: dict[str, int] = {}
         self.rows = np.zeros((1 << 12, 1 + len(model.labels)))
 
@@ -193,13 +203,19 @@ class ChunkScores:
 
     def sums(self, text: str) -> np.ndarray:
         chunks = text.split()
+        total = np.zeros(self.rows.shape[1])
+        for start in range(0, len(chunks), self.step):
+            total += self._sums(chunks[start : start + self.step])
+        return total
+
+    def _sums(self, chunks: list[str]) -> np.ndarray:
         if len(self.at) > self.limit:
             self.at.clear()
         at = list(map(self.at.get, chunks))
         if None in at:
             self.learn(list(dict.fromkeys(chunk for chunk, i in zip(chunks, at, strict=True) if i is None)))
             at = list(map(self.at.__getitem__, chunks))
-        return self.rows[at].sum(axis=0) if at else np.zeros(self.rows.shape[1])
+        return self.rows[at].sum(axis=0)
 
 
 def remainder(doc_id: Column) -> Column:
@@ -208,20 +224,21 @@ def remainder(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, may_learn: Column, fit: Fit = Fit()) -> list[tuple[str, str]]:
-    """Texts and labels to fit on: of each of the most frequent labels the rows that come first by a hash of their id, in that order."""
-    known = docs.select("doc_id", "text", "lang").where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    labels = [row.lang for row in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fit.max_labels).collect()]
-    if not labels:
+    """Texts and labels to fit on: of each label the rows that come first by a hash of their id, in that order; the shortest where all are too long."""
+    known = docs.select("doc_id", "text", "lang").where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    shortest = known.groupBy("lang").agg(F.min(F.length("text")).alias("n")).collect()
+    if not shortest:
         return []
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id")
-    chosen = (
-        known.where(F.col("lang").isin(labels) & (F.length("text") <= fit.max_train_chars))
-        .select("lang", "doc_id")
-        .withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= max(1, fit.max_train_docs // len(labels)))
-    )
-    # At most max_train_docs rows of an id, a label and a place.
-    rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).where(F.length("text") <= fit.max_train_chars).groupBy("lang", "place").agg(F.min("text").alias("text")).collect()
+    share = max(1, fit.min_label_docs, fit.max_train_docs // len(shortest))
+    only_long = [row.lang for row in shortest if row.n > fit.max_train_chars]
+    long = F.length("text") > fit.max_train_chars
+    known = known.where(~long | F.col("lang").isin(only_long)) if only_long else known.where(~long)
+    order = Window.partitionBy("lang").orderBy("size", F.xxhash64("doc_id", F.lit(9)), "doc_id")
+    chosen = known.select("lang", "doc_id", F.when(long, F.length("text")).otherwise(0).alias("size"))
+    chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
+    chosen = chosen.where((F.col("size") == 0) | (F.col("place") <= max(1, fit.min_label_docs))).select("lang", "doc_id", "place")
+    # At most one row of an id, a label and a place.
+    rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("lang", "place").agg(F.min("text").alias("text")).collect()
     return [(row.text, row.lang) for row in sorted(rows, key=lambda row: (row.place, row.lang))]
 
 
@@ -236,7 +253,7 @@ def train(docs: DataFrame, may_learn: Column, fit: Fit = Fit()) -> LanguageModel
 def predict(docs: DataFrame, model: LanguageModel, columns: list[str]) -> DataFrame:
     """docs' named columns with lang_pred and score for every whole text, `und` and 0 where it is null or has no letter.
 
-    The model, of at most max_labels << bits weights, is broadcast.  One narrow stage.  The names lang_pred
+    The model, of at most max_weights weights (or two a label), is broadcast.  One narrow stage.  The names lang_pred
     and score must not be among the columns.  An empty table gives no row.
     """
     spark = docs.sparkSession

@@ -64,3 +64,22 @@ def test_rejecting(spark):
     docs = documents(spark, rows)
     kept = language_id.reject_unknown(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(40))
+
+
+def test_every_label_is_learned(spark):
+    words = lambda i: " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{c}q" for c in "aeiouy")
+    rows = [(1000 * i + j, f"{words(i)} {words(i)}", f"l{i:02}") for i in range(80) for j in range(9 if i < 70 else 3)]
+    rows += [(90_000 + j, "жщ " * (7_000 + j), "long") for j in range(3)]
+    found = language_id.reject_unknown(documents(spark, rows))
+    assert sorted(r.doc_id for r in found.collect()) == sorted(row[0] for row in rows)
+    fit = Fit(max_weights=81 << 15)
+    lang = {row[0]: row[2] for row in rows}
+    for some in (Fit(), fit):
+        judged = language_id.identify(documents(spark, rows), some).collect()
+        assert np.mean([r.lang_pred == lang[r.doc_id] for r in judged]) > 0.97
+        assert {r.lang_pred for r in judged} == set(lang.values())
+
+
+def test_a_label_with_one_text_is_not_held_back():
+    model = LanguageModel.train([chr(97 + i) * 9 for i in range(20)], [f"{i:02}" for i in range(20)], Fit(bits=12))
+    assert [label for label, _ in model.predict([chr(97 + i) * 9 for i in range(20)], ChunkScores(model))] == [f"{i:02}" for i in range(20)]
