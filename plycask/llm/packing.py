@@ -5,7 +5,8 @@ there directly; the rest of a document is routed to the smallest tier that holds
 packed from its longest rest down, by best fit; the gaps that remain in a window are filled from the
 tiers below, whose documents are cut where a gap ends.  Only one window of a group of documents can
 stay open; it is cut into sequences of powers of two, which need no padding.  Sequences get a step
-group in rotation by tier, so that every group of steps has about the same number of each length.
+group in rotation by tier, each partition from a group of its own on, so that every group of steps has
+about the same number of each length.
 
 Documents are packed in groups of bounded size as their partition streams by, so nothing is shuffled
 and memory does not grow with the input.
@@ -179,8 +180,9 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, step_groups:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer_path)
-        number = TaskContext.get().partitionId() << 36
-        steps: defaultdict[int, int] = defaultdict(int)
+        partition = TaskContext.get().partitionId()
+        number = partition << 36
+        steps: defaultdict[int, int] = defaultdict(lambda: partition)
         doc_ids: list[int | None] = []
         tokens: list[bytes] = []
         held = 0

@@ -71,3 +71,12 @@ def test_groups_are_packed_without_padding(seed):
 def test_window_must_be_a_power_of_two(spark):
     with pytest.raises(ValueError):
         packing.pack(documents(spark, odd_rows()), "", 1000)
+
+
+def test_step_groups_are_balanced_over_many_partitions(spark):
+    rows = [(i, "a b c d e f g h i j k") for i in range(48)]  # each a partition: one sequence of eight tokens and one of four
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 48), "doc_id long, text string")
+    found = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), step_groups=8).select("sequence_id", "tier", "step_group").distinct()
+    counts = {(r.tier, r.step_group): r["count"] for r in found.groupBy("tier", "step_group").count().collect()}
+    tiers = {tier for tier, _ in counts}
+    assert len(tiers) > 1 and counts == {(tier, group): 6 for tier in tiers for group in range(8)}
