@@ -18,12 +18,11 @@ import heapq
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from plycask.llm.words import Memo, texts_of
+from plycask.llm.words import Memo, freeing, texts_of
 
 SPACE_MARK = "▁"
 #: Piece types of the model file: only these take part in merges (the others are unknown, control and single bytes).
@@ -146,15 +145,15 @@ class PieceVocabulary:
                     push(heap, (r, h))
         return count
 
-    def counter(self, remembered: int = 500_000):
+    def counter(self):
         """A function from a text to its number of tokens."""
-        stretch = Memo(self.count_stretch, remembered // 2).__getitem__
+        stretch = Memo(self.count_stretch).__getitem__
         stretches, prefix = self.stretches.findall, SPACE_MARK if self.dummy_prefix else ""
 
         def whole(text: str) -> int:
             return sum(map(stretch, stretches(text)))
 
-        after_space = Memo(lambda chunk: whole(SPACE_MARK + chunk), remembered).__getitem__
+        after_space = Memo(lambda chunk: whole(SPACE_MARK + chunk)).__getitem__
 
         def count(text: str) -> int:
             if not text:
@@ -166,9 +165,7 @@ class PieceVocabulary:
         return count
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str):
-    """One for each Python worker, which serves many tasks."""
     with open(path, "rb") as file:
         return PieceVocabulary(file.read()).counter()
 
@@ -196,4 +193,4 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096) -> DataFra
                 names=["doc_id", "n_bytes", "n_tokens", "over_limit"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(freeing(run), SCHEMA)

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from plycask.llm.components import components
 from plycask.llm.scratch import Scratch
-from plycask.llm.words import collapse, hash_memo, mix, split_words, word_hashes
+from plycask.llm.words import collapse, freeing, hash_memo, mix, split_words, word_hashes
 
 _U64 = np.uint64
 #: Members of a bucket up to which its pairs are compared as rows; beyond, in blocks of so many members and shingles.
@@ -196,7 +196,7 @@ def sketches(docs: DataFrame, near: Near) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), batch.column("node"), *lists], names=["doc_id", "node", "bands", "shingles"])
 
-    return docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(run, SKETCH)
+    return docs.select("doc_id", node_of(F.col("text")).alias("node"), "text").mapInArrow(freeing(run), SKETCH)
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -295,7 +295,7 @@ def _across_large(members: DataFrame, sets: DataFrame, similarity: float, scratc
     before = spark.conf.get(setting)
     spark.conf.set(setting, "4")  # rows of up to a block's size each
     try:
-        return scratch.save(pairs.mapInArrow(run, "a long, b long"), "large-links")
+        return scratch.save(pairs.mapInArrow(freeing(run), "a long, b long"), "large-links")
     finally:
         spark.conf.set(setting, before)
 

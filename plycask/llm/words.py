@@ -1,11 +1,15 @@
-"""What the operators share about text: blanks, words, batches of Arrow rows and 64-bit mixing."""
+"""What the operators share about text: blanks, words, batches of Arrow rows, memory of a task and 64-bit mixing."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -35,20 +39,45 @@ def split_words(text: str | None) -> list[str]:
     return [word for word in text.split(" ") if word]
 
 
+#: What an entry takes in a dict besides its key and value, about; and what each item of a list or tuple takes.
+_ENTRY, _ITEM = 100, 36
+#: Longest key that is remembered.
+LONGEST_KEY = 128
+
+
 class Memo(dict):
-    """A function's values by argument, forgotten altogether when there are too many, so that memory is bounded."""
+    """A function's values by argument, forgotten altogether when they take more than most bytes; long arguments are not remembered."""
 
-    def __init__(self, function, limit: int = 400_000):
+    def __init__(self, function, most: int = 24 << 20):
         super().__init__()
-        self._function, self._limit = function, limit
+        self._function, self._most, self._size = function, most, 0
 
     def __missing__(self, key):
-        if len(self) >= self._limit:
-            self.clear()
-        value = self[key] = self._function(key)
+        value = self._function(key)
+        if len(key) <= LONGEST_KEY:
+            size = _ENTRY + getsizeof(key) + getsizeof(value) + (_ITEM * len(value) if isinstance(value, (list, tuple)) else 0)
+            self._size += size
+            if self._size > self._most:
+                self.clear()
+                self._size = size
+            self[key] = value
         return value
 
 
+def freeing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, for mapInArrow, after which the worker gives its free memory back: Spark keeps workers for the tasks of later stages."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def word_hashes(words: list[str], memo: Memo) -> np.ndarray:
     return np.fromiter(map(memo.__getitem__, words), dtype=_U64, count=len(words))
 
@@ -66,7 +95,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U64(31))
 
 
+def slices(whole: pa.RecordBatch, most: int = 4 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with texts of about most bytes together, or a single row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < whole.num_rows:
+        before = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield whole.slice(at, stop - at)
+        at = stop
+
+
 def texts_of(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Batches with their texts; a null text counts as empty."""
-    for batch in batches:
-        yield batch, [text or "" for text in batch.column(column).to_pylist()]
+    """Batches, in slices of some megabytes, with their texts; a null text counts as empty."""
+    for whole in batches:
+        for batch in slices(whole, column=column):
+            yield batch, [text or "" for text in batch.column(column).to_pylist()]
