@@ -13,20 +13,22 @@ without a text that short gives its ``min_label_docs`` shortest.  Predictions re
 
 from __future__ import annotations
 
-import re
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from plycask.llm.words import texts_of
+from plycask.llm.words import LONGEST_KEY, freeing, texts_of
 
 UNDETERMINED = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: A word begins with a letter (not a numeral or a sign that is only used like one); marks belong to the letter before them.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 _ORDERS = (1, 2, 3, 4)
 #: Odd multipliers, one for each place in an n-gram.
 _PLACES = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
@@ -108,7 +110,8 @@ class LanguageModel:
         first = {targets[i]: i for i in reversed(range(len(rows)))}
         held = [i for i in range(len(rows)) if i % 5 == 4 and first[targets[i]] != i]
         learn = [i for i in range(len(rows)) if i % 5 != 4 or first[targets[i]] == i]
-        z, n, bias = np.zeros((size, k)), np.zeros((size, k)), np.zeros(k)
+        z, n = np.zeros((size, k)), np.zeros((size, k))
+        z_bias, n_bias, bias = np.zeros(k), np.zeros(k), np.zeros(k)
 
         def weights(at: np.ndarray | slice) -> np.ndarray:
             zs = z[at]
@@ -116,7 +119,7 @@ class LanguageModel:
             return np.where(np.abs(zs) <= fit.l1, 0.0, w)
 
         rng = np.random.default_rng(20)
-        for epoch in range(fit.epochs):
+        for _ in range(fit.epochs):
             for i in rng.permutation(learn):
                 found, x = rows[i]
                 w = weights(found)
@@ -127,7 +130,10 @@ class LanguageModel:
                 sigma = (np.sqrt(n_now + g * g) - np.sqrt(n_now)) / fit.alpha
                 z[found] += g - sigma * w
                 n[found] = n_now + g * g
-                bias -= 0.02 / (1 + epoch) * p
+                # The bias is a coordinate like the others, without a penalty.
+                z_bias += p - (np.sqrt(n_bias + p * p) - np.sqrt(n_bias)) / fit.alpha * bias
+                n_bias += p * p
+                bias = -z_bias / ((fit.beta + np.sqrt(n_bias)) / fit.alpha)
         table = np.empty((size, k), np.float32)
         for at in range(0, size, step := max(1, (1 << 20) // k)):
             table[at : at + step] = weights(slice(at, at + step)) * idf[at : at + step, None] * fit.scale
@@ -171,34 +177,40 @@ class LanguageModel:
 
 
 class ChunkScores:
-    """For chunks of text between blanks: the number of n-grams and the sums of their weights; a bounded memory of those seen."""
+    """For chunks of text between blanks: the number of n-grams and the sums of their weights; those seen are remembered, in at most about ``most`` bytes."""
 
-    def __init__(self, model: LanguageModel, limit: int = 500_000):
+    def __init__(self, model: LanguageModel, most: int = 32 << 20):
         columns = 1 + len(model.labels)
         # Chunks remembered, and chunks scored at a time: fewer where a chunk has many scores.
-        self.model, self.limit, self.step = model, min(limit, max(64, (1 << 22) // columns)), max(64, (1 << 19) // columns)
+        self.model, self.limit, self.step = model, max(1, most // (8 * columns + 160)), max(64, (1 << 17) // columns)
         self.at: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, 1 + len(model.labels)))
+        self.rows = np.zeros((1 << 10, 1 + len(model.labels)))
 
-    def learn(self, chunks: list[str]) -> None:
-        """Scores chunks that are new, all in one go."""
+    def scored(self, chunks: list[str]) -> np.ndarray:
+        """A row for each chunk."""
         words, owner = [], []
         for i, chunk in enumerate(chunks):
             for word in _LETTERS.findall(chunk.lower()):
                 words.append(word)
                 owner.append(i)
-        new = np.zeros((len(chunks), self.rows.shape[1]))
+        rows = np.zeros((len(chunks), self.rows.shape[1]))
         if words:
             found, of = ngrams(words, self.model.fit.bits)
             of = np.array(owner)[of]
-            new[:, 0] = np.bincount(of, minlength=len(chunks))
+            rows[:, 0] = np.bincount(of, minlength=len(chunks))
             weights = self.model.table[found]
             for label in range(weights.shape[1]):
-                new[:, 1 + label] = np.bincount(of, weights[:, label], len(chunks))
+                rows[:, 1 + label] = np.bincount(of, weights[:, label], len(chunks))
+        return rows
+
+    def learn(self, chunks: list[str]) -> None:
+        """Scores chunks that are new, all in one go."""
         first = len(self.at)
-        while first + len(chunks) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[first : first + len(chunks)] = new
+        if first + len(chunks) > len(self.rows):
+            rows = np.zeros((max(2 * len(self.rows), first + len(chunks)), self.rows.shape[1]))
+            rows[:first] = self.rows[:first]
+            self.rows = rows
+        self.rows[first : first + len(chunks)] = self.scored(chunks)
         self.at.update(zip(chunks, range(first, first + len(chunks)), strict=True))
 
     def sums(self, text: str) -> np.ndarray:
@@ -209,13 +221,18 @@ class ChunkScores:
         return total
 
     def _sums(self, chunks: list[str]) -> np.ndarray:
+        total = np.zeros(self.rows.shape[1])
+        if long := [chunk for chunk in chunks if len(chunk) > LONGEST_KEY]:
+            for chunk in long:
+                total += self.scored([chunk])[0]
+            chunks = [chunk for chunk in chunks if len(chunk) <= LONGEST_KEY]
         if len(self.at) > self.limit:
             self.at.clear()
         at = list(map(self.at.get, chunks))
         if None in at:
             self.learn(list(dict.fromkeys(chunk for chunk, i in zip(chunks, at, strict=True) if i is None)))
             at = list(map(self.at.__getitem__, chunks))
-        return self.rows[at].sum(axis=0)
+        return total + self.rows[at].sum(axis=0)
 
 
 def remainder(doc_id: Column) -> Column:
@@ -224,22 +241,37 @@ def remainder(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, may_learn: Column, fit: Fit = Fit()) -> list[tuple[str, str]]:
-    """Texts and labels to fit on: of each label the rows that come first by a hash of their id, in that order; the shortest where all are too long."""
+    """Texts and labels to fit on: of each label the rows that come first by a hash of their id, in that order; the shortest where all are too long.
+
+    How many rows a label has tells below which hash its first ones lie, but for a little: only these rows are
+    shuffled, so a label that most rows have is no more work for its task than any other.
+    """
     known = docs.select("doc_id", "text", "lang").where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    shortest = known.groupBy("lang").agg(F.min(F.length("text")).alias("n")).collect()
-    if not shortest:
-        return []
-    share = max(1, fit.min_label_docs, fit.max_train_docs // len(shortest))
-    only_long = [row.lang for row in shortest if row.n > fit.max_train_chars]
     long = F.length("text") > fit.max_train_chars
-    known = known.where(~long | F.col("lang").isin(only_long)) if only_long else known.where(~long)
-    order = Window.partitionBy("lang").orderBy("size", F.xxhash64("doc_id", F.lit(9)), "doc_id")
-    chosen = known.select("lang", "doc_id", F.when(long, F.length("text")).otherwise(0).alias("size"))
-    chosen = chosen.withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
-    chosen = chosen.where((F.col("size") == 0) | (F.col("place") <= max(1, fit.min_label_docs))).select("lang", "doc_id", "place")
-    # At most one row of an id, a label and a place.
-    rows = known.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("lang", "place").agg(F.min("text").alias("text")).collect()
-    return [(row.text, row.lang) for row in sorted(rows, key=lambda row: (row.place, row.lang))]
+    counts = known.groupBy("lang").agg(F.count_if(~long).alias("short"), F.count_if(long).alias("long")).collect()
+    if not counts:
+        return []
+    share = max(1, fit.min_label_docs, fit.max_train_docs // len(counts))
+    wanted = {row.lang: min(share, row.short) if row.short else min(row.long, max(1, fit.min_label_docs)) for row in counts}
+    found: list = []
+    for slack in (12.0, math.inf):  # the second only where ids that repeat made the hashes of a label lie badly
+        missing = [row for row in counts if sum(x.lang == row.lang for x in found) < wanted[row.lang]]
+        if not missing:
+            break
+        found = [x for x in found if x.lang not in {row.lang for row in missing}]
+        bounds = [(row.lang, not row.short, wanted[row.lang], _below(share + slack * (share**0.5 + 4), row.short)) for row in missing]
+        bounds = docs.sparkSession.createDataFrame(bounds, "lang string, of_long boolean, n long, bound long")
+        order = Window.partitionBy("lang").orderBy("size", "hash", "doc_id", "text")
+        rows = known.join(F.broadcast(bounds), "lang").withColumn("hash", F.xxhash64("doc_id", F.lit(9)))
+        rows = rows.where((long == F.col("of_long")) & (F.col("of_long") | (F.col("hash") <= F.col("bound"))))
+        rows = rows.withColumn("size", F.when(long, F.length("text")).otherwise(0)).withColumn("place", F.row_number().over(order))
+        found += rows.where(F.col("place") <= F.lit(share)).where("place <= n").select("text", "lang", "place").collect()
+    return [(row.text, row.lang) for row in sorted(found, key=lambda row: (row.place, row.lang))]
+
+
+def _below(wanted: float, of: int) -> int:
+    """The hash below which about that many lie, of so many."""
+    return min(2**63 - 1, int(-(2.0**63) + 2.0**64 * min(1.0, wanted / max(1, of)))) if wanted < of else 2**63 - 1
 
 
 def train(docs: DataFrame, may_learn: Column, fit: Fit = Fit()) -> LanguageModel:
@@ -270,7 +302,7 @@ def predict(docs: DataFrame, model: LanguageModel, columns: list[str]) -> DataFr
                 names=[*columns, "lang_pred", "score"],
             )
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(freeing(run), schema)
 
 
 def identify(docs: DataFrame, fit: Fit = Fit()) -> DataFrame:
