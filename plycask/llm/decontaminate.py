@@ -2,15 +2,19 @@
 
 The items' inverted index holds, for each term, its items with their BM25 contributions as shares of the
 item's score for its own text, so that one threshold suits items of any length.  Items are in blocks, and
-each list knows the largest contribution in a block.  Passages are overlapping windows twice as long as the
-longest item, so each item lies whole in one of them.  For all passages at once, the block maxima of their
-distinct terms are added up; where no block can reach the threshold nothing can be retrieved.  In the others,
-block-max WAND retrieves every item above the threshold.  A retrieved item is a leak when both its question
+each list knows the largest contribution in a block.  Items are classed by length (powers of two); passages
+are overlapping windows of twice a class's length, so each item lies whole in one of its class, and which
+other items are in the benchmark decides nothing.
+
+The lists of an item's rarest terms, which hold more of its score than the threshold leaves to the others, are
+gone through for all passages at once: a passage in which they do not add up to what the others cannot make
+up for cannot reach the threshold.  Every other passage queries the index by block-max WAND, which retrieves
+every item above the threshold.  A retrieved item is a leak when both its question
 and its answer overlap with the passage.  An item of prose, which marks neither, is also a leak when enough of
 its tokens lie in n-grams that the passage has, wherever they stand: a copy that stops early or differs in a word.
 
-The index is broadcast, in shards of a bounded number of bytes: a larger benchmark takes more passes over
-the documents, not larger executors.
+The index is broadcast, in shards of a bounded number of bytes, one of which the driver makes at a time: a
+larger benchmark takes more passes over the documents, not larger executors.
 """
 
 from __future__ import annotations
@@ -28,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plycask.llm.words import Memo
+from plycask.llm.scratch import Scratch
+from plycask.llm.words import Memo, freeing, texts_of
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 _TOKENS = re.compile(r"\w+")
@@ -84,50 +89,74 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
 class BlockMaxIndex:
     """BM25 postings of items, in blocks, with block-max WAND retrieval."""
 
+    #: Share of the threshold that an item's terms without a list for bounds may have together.
+    _REST = 0.6
+    #: Entries of rare lists that are gone through at a time.
+    _MOST = 1_000_000
+
     def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n_items: int, mean_length: float, how: Leak):
         self.how = how
-        kept = [(item_id, text) for item_id, text in items if tokens(text)]
-        self.item_ids = [item_id for item_id, _ in kept]
-        counts = [Counter(tokens(text)) for _, text in kept]
-        self.vocabulary = {term: i for i, term in enumerate(sorted(set(chain.from_iterable(counts))))}
+        counted = [(item_id, text, Counter(tokens(text))) for item_id, text in items]
+        # Items of a class stand together, so that a class is a range of numbers.
+        kept = sorted(((max(0, sum(count.values()) - 1).bit_length(), item_id, text, count) for item_id, text, count in counted if count), key=lambda x: x[0])
+        self.item_ids = [item_id for _, item_id, _, _ in kept]
+        self.stride = np.array([1 << x[0] for x in kept], np.int64)
+        self.vocabulary = {term: i for i, term in enumerate(sorted(set(chain.from_iterable(x[3] for x in kept))))}
         idf = {term: math.log(1 + (n_items - df.get(term, 1) + 0.5) / (df.get(term, 1) + 0.5)) for term in self.vocabulary}
-        lists: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
-        for item, count in enumerate(counts):
+        terms, shares = [], []
+        for _, _, _, count in kept:
             size = how.k1 * (1 - how.b + how.b * sum(count.values()) / mean_length)
-            own = {term: idf[term] * tf * (how.k1 + 1) / (tf + size) for term, tf in count.items()}
-            total = sum(own.values())
-            for term, score in own.items():
-                lists[self.vocabulary[term]].append((item, score / total))
-        self.lists = [([item for item, _ in x], [score for _, score in x], max(score for _, score in x)) for x in lists]
-        self.block_max: list[dict[int, float]] = []
-        for items_of, scores, _ in self.lists:
-            best: dict[int, float] = {}
-            for item, score in zip(items_of, scores, strict=True):
-                best[item // how.block] = max(score, best.get(item // how.block, 0.0))
-            self.block_max.append(best)
-        self.blocks = (len(kept) + how.block - 1) // how.block
-        # The block maxima again, as one array, for bounds of many passages at once.
-        sizes = [len(best) for best in self.block_max]
-        self.from_ = np.cumsum([0, *sizes])
-        self.of_block = np.array([block for best in self.block_max for block in best], np.int64)
-        self.maximum = np.array([score for best in self.block_max for score in best.values()])
-        self.parts = [tuple([self.vocabulary[t] for t in part] for part in question_and_answer(text)) for _, text in kept]
+            own = np.array([idf[term] * tf * (how.k1 + 1) / (tf + size) for term, tf in count.items()])
+            terms.append(np.array([self.vocabulary[term] for term in count], np.int64))
+            shares.append(own / own.sum())
+        self.postings = self._lists(terms, shares)
+        blocks: list[np.ndarray] = []
+        best: list[np.ndarray] = []
+        for term in range(len(self.vocabulary)):
+            items_of, scores = self._list(self.postings, term)
+            at = np.flatnonzero(np.append(True, items_of[1:] // how.block != items_of[:-1] // how.block))
+            blocks.append(items_of[at] // how.block)
+            best.append(np.maximum.reduceat(scores, at))
+        self.block_max = np.cumsum([0, *map(len, blocks)]), np.concatenate([np.empty(0, np.int32), *blocks]), np.concatenate([np.empty(0), *best])
+        # Each item's rarest terms, until the others have but a part of the threshold.
+        self.need = np.zeros(len(kept))
+        for i, share in enumerate(shares):
+            order = np.argsort(-share, kind="stable")
+            rest = 1 - np.cumsum(share[order])
+            n = int(np.argmax(rest <= self._REST * how.score + 1e-12)) + 1
+            self.need[i] = how.score - max(0.0, rest[n - 1]) - 2e-9
+            terms[i], shares[i] = terms[i][order[:n]], share[order[:n]]
+        self.rare = self._lists(terms, shares)
+        self.parts = [tuple(np.array([self.vocabulary[t] for t in part], np.int32) for part in question_and_answer(text)) for _, _, text, _ in kept]
         #: The ids of a prose item; none for one that marks question and answer.
-        self.prose = [[] if marked_parts(text) else [self.vocabulary[t] for t in tokens(text)] for _, text in kept]
-        self.stride = max((sum(count.values()) for count in counts), default=1)
-
-    def reachable(self, window: np.ndarray, term: np.ndarray, windows: int) -> np.ndarray:
-        """Windows in which some block's maxima add up to the threshold; window and term are distinct pairs."""
-        n = self.from_[term + 1] - self.from_[term]
-        ends = np.cumsum(n)
-        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - n, n) + np.repeat(self.from_[term], n)
-        sums = np.bincount(np.repeat(window, n) * self.blocks + self.of_block[at], self.maximum[at], windows * self.blocks)
-        return np.flatnonzero(sums.reshape(windows, self.blocks).max(axis=1) >= self.how.score - 1e-9)
-
-    def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
-        """All items whose score for the distinct terms reaches the threshold, by block-max WAND."""
+        self.prose = [np.array([] if marked_parts(text) else [self.vocabulary[t] for t in tokens(text)], np.int32) for _, _, text, _ in kept]
+
+    def _lists(self, terms: list[np.ndarray], shares: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each term where its list begins, and the lists of items and shares one after the other, by item."""
+        every = np.concatenate([np.empty(0, np.int64), *terms])
+        order = np.argsort(every, kind="stable")
+        items = np.repeat(np.arange(len(terms), dtype=np.int32), [len(x) for x in terms])
+        return np.searchsorted(every[order], np.arange(len(self.vocabulary) + 1)), items[order], np.concatenate([np.empty(0), *shares])[order]
+
+    @staticmethod
+    def _list(lists: tuple[np.ndarray, np.ndarray, np.ndarray], term: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = lists[0][term], lists[0][term + 1]
+        return lists[1][a:b], lists[2][a:b]
+
+    def _cursor(self, term: int, low: int, high: int) -> list | None:
+        """Where a list stands (item and place), its items and shares in the range, the largest share, and the largest in each block."""
+        items, scores = self._list(self.postings, term)
+        a, b = np.searchsorted(items, [low, high])
+        if a == b:
+            return None
+        items, scores = items[a:b].tolist(), scores[a:b].tolist()
+        blocks, best = self._list(self.block_max, term)
+        return [items[0], 0, items, scores, max(scores), dict(zip(blocks.tolist(), best.tolist(), strict=True))]
+
+    def retrieve(self, terms: list[int], low: int = 0, high: int = _NO_ITEM) -> list[tuple[int, float]]:
+        """All items of the range whose score for the distinct terms reaches the threshold, by block-max WAND."""
         least, block = self.how.score - 1e-9, self.how.block
-        cursors = [[self.lists[t][0][0], 0, *self.lists[t], self.block_max[t]] for t in terms]
+        cursors = [cursor for cursor in (self._cursor(t, low, high) for t in terms) if cursor]
         found = []
         while cursors:
             cursors.sort(key=lambda c: c[0])
@@ -161,19 +190,23 @@ class BlockMaxIndex:
             cursors = [cursor for cursor in cursors if cursor[0] < _NO_ITEM]
         return found
 
-    def overlap(self, part: list[int], passage: list[int]) -> float:
-        """The share of the part's n-grams that the passage has."""
+    def overlap(self, part: np.ndarray, there: set[tuple[int, ...]], passage: list[int]) -> float:
+        """The share of the part's n-grams that the passage has; there are the passage's n-grams."""
+        part = part.tolist()
         n = min(self.how.ngram, len(part))
+        if n < self.how.ngram:
+            there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}
         grams = {tuple(part[i : i + n]) for i in range(len(part) - n + 1)}
-        there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}
         return len(grams & there) / len(grams)
 
-    def covered(self, item: list[int], passage: list[int]) -> float:
+    def covered(self, item: np.ndarray, there: set[tuple[int, ...]], passage: list[int]) -> float:
         """The share of the item's tokens that lie in n-grams which the passage has; 0 of no tokens."""
+        item = item.tolist()
         if not item:
             return 0.0
         n = min(self.how.ngram, len(item))
-        there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}
+        if n < self.how.ngram:
+            there = {tuple(passage[i : i + n]) for i in range(len(passage) - n + 1)}
         shared, end = 0, 0
         for i in range(len(item) - n + 1):
             if tuple(item[i : i + n]) in there:
@@ -186,81 +219,117 @@ class BlockMaxIndex:
         found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
         if not self.item_ids:
             return found
-        at, size = 0, 0
-        group: list[tuple[int, list[int]]] = []
+        size = 0
+        group: list[tuple[int, np.ndarray, int]] = []
         for at, text in enumerate(texts):
-            ids = list(chain.from_iterable(map(memo.__getitem__, text.split())))
-            if ids:
-                group.append((at, ids))
-                size += len(ids)
-            if size > 300_000:
-                self._search(group, found)
-                group, size = [], 0
+            ids = np.fromiter(chain.from_iterable(map(memo.__getitem__, text.split())), np.int64)
+            for piece, stop in self._pieces(ids):
+                group.append((at, piece, stop))
+                size += self._listed(piece)
+                if size > self._MOST or len(group) > 10_000:
+                    self._search(group, found)
+                    group, size = [], 0
         if group:
             self._search(group, found)
         return found
 
-    def _search(self, group: list[tuple[int, list[int]]], found: list[dict]) -> None:
-        s = self.stride
-        lengths = np.array([len(ids) for _, ids in group])
-        windows = (lengths - 1) // s + 1
-        first = np.cumsum(windows) - windows
-        ids = np.fromiter(chain.from_iterable(ids for _, ids in group), np.int64, lengths.sum())
-        place = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        window = np.repeat(first, lengths) + place // s
-        known = ids >= 0
-        earlier = known & (place >= s)
-        keys = np.unique(np.concatenate([window[known] * len(self.vocabulary) + ids[known], (window[earlier] - 1) * len(self.vocabulary) + ids[earlier]]))
-        of, term = keys // len(self.vocabulary), keys % len(self.vocabulary)
-        total = int(windows.sum())
-        for w in self.reachable(of, term, total).tolist():
-            low, high = np.searchsorted(of, [w, w + 1])
-            retrieved = self.retrieve(term[low:high].tolist())
+    def _listed(self, ids: np.ndarray) -> int:
+        """About how many entries it takes to go through the rare lists of all tokens."""
+        known = ids[ids >= 0]
+        return len(ids) // 8 + int((self.rare[0][known + 1] - self.rare[0][known]).sum())
+
+    def _pieces(self, ids: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+        """A document's tokens in pieces that are not too many entries, and before which place in it the windows of a piece begin; a piece goes on for the longest window."""
+        parts = -(-self._listed(ids) // self._MOST)
+        longest = int(self.stride.max())
+        step = max(1, len(ids) // parts // longest) * longest if parts > 1 else max(1, len(ids))
+        for start in range(0, len(ids), step):
+            yield ids[start : start + step + longest], step
+
+    def reachable(self, ids: np.ndarray, lengths: np.ndarray) -> list[tuple[int, int, int]]:
+        """Document, start and stride of every window in which an item of that stride may reach the threshold; ids of all documents, -1 for unknown ones."""
+        ends = np.cumsum(lengths)
+        place = np.flatnonzero(ids >= 0)
+        n = self.rare[0][ids[place] + 1] - self.rare[0][ids[place]]
+        place, n = place[n > 0], n[n > 0]
+        if not len(place):
+            return []
+        term = ids[place]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.rare[0][term], n)
+        place, term = np.repeat(place, n), np.repeat(term, n)
+        item, share = self.rare[1][at].astype(np.int64), self.rare[2][at]
+        first = (ends - lengths)[np.searchsorted(ends, place, side="right")]
+        stride = self.stride[item]
+        # An item's cells, by where they begin, and of each its distinct terms.
+        total = len(ids) + 1
+        cells, of = np.unique(item * total + first + (place - first) // stride * stride, return_inverse=True)
+        _, one = np.unique(of * len(self.vocabulary) + term, return_index=True)
+        sums = np.bincount(of[one], share[one], len(cells))
+        item, start = cells // total, cells % total
+        stride = self.stride[item]
+        document = np.searchsorted(ends, start, side="right")
+        first, end = (ends - lengths)[document], ends[document]
+
+        def at_cell(keys: np.ndarray, there: np.ndarray) -> np.ndarray:
+            found = np.minimum(np.searchsorted(cells, keys), len(cells) - 1)
+            return np.where(there & (cells[found] == keys), sums[found], 0.0)
+
+        after = sums + at_cell(cells + stride, start + stride < end) >= self.need[item]
+        before = (start - stride >= first) & (sums + at_cell(cells - stride, start - stride >= first) >= self.need[item])
+        windows = np.concatenate([np.stack([document, start - first, stride])[:, after], np.stack([document, start - stride - first, stride])[:, before]], axis=1)
+        return list(map(tuple, np.unique(windows, axis=1).T.tolist()))
+
+    def _search(self, group: list[tuple[int, np.ndarray, int]], found: list[dict]) -> None:
+        lengths = np.array([len(ids) for _, ids, _ in group])
+        for number, start, stride in self.reachable(np.concatenate([ids for _, ids, _ in group]), lengths):
+            at, ids, stop = group[number]
+            if start >= stop:
+                continue
+            passage = ids[start : start + 2 * stride].tolist()
+            low, high = np.searchsorted(self.stride, [stride, stride + 1]).tolist()
+            retrieved = self.retrieve(sorted({term for term in passage if term >= 0}), low, high)
             if not retrieved:
                 continue
-            doc = int(np.searchsorted(first, w, side="right")) - 1
-            at, all_ids = group[doc]
-            start = (w - int(first[doc])) * s
-            passage = all_ids[start : start + 2 * s]
+            there = {tuple(passage[i : i + self.how.ngram]) for i in range(len(passage) - self.how.ngram + 1)}
             for item, score in retrieved:
-                question, answer = (self.overlap(part, passage) for part in self.parts[item])
+                question, answer = (self.overlap(part, there, passage) for part in self.parts[item])
                 both = question >= self.how.overlap and answer >= self.how.overlap
-                if both or self.covered(self.prose[item], passage) >= self.how.covered - 1e-9:
+                if both or self.covered(self.prose[item], there, passage) >= self.how.covered - 1e-9:
                     best = found[at].get(item)
                     if best is None or score > best[0]:
                         found[at][item] = (score, question, answer)
 
 
-def _document_frequencies(benchmark: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            terms = [term for text in batch.column("text").to_pylist() for term in set(tokens(text))]
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string())], names=["term"])
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct terms of each text, one after the other."""
+    for _, texts in texts_of(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([term for text in texts for term in set(tokens(text))], pa.string())], names=["term"])
 
-    return benchmark.select("text").mapInArrow(run, "term string").groupBy("term").count()
+
+def _document_frequencies(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select("text").mapInArrow(_terms, "term string").groupBy("term").count()
 
 
-def indexes(benchmark: DataFrame, how: Leak = Leak()) -> list[BlockMaxIndex]:
-    """Indexes of the items in shards of about shard_bytes of text each; frequencies and mean length are those of all items."""
+def indexes(benchmark: DataFrame, how: Leak = Leak()) -> Iterator[BlockMaxIndex]:
+    """Indexes of the items in shards of about shard_bytes of text each, one at a time; frequencies and mean length are those of all items."""
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
     size = items.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.avg(F.size(F.split("text", r"\s+"))).alias("mean")).head()
     if not size.n:
-        return []
+        return
     shards = max(1, math.ceil(size.bytes / how.shard_bytes))
-    frequencies = _document_frequencies(items)
-    out = []
+    if shards > 1:
+        scratch = Scratch(benchmark.sparkSession, "decontaminate")
+        frequencies = scratch.save(_document_frequencies(items), "frequencies")
+        items = scratch.save(items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)).cast("int")), "items", ["shard"])
     for shard in range(shards):
-        rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard).collect()
+        rows = (items if shards == 1 else items.where(F.col("shard") == shard)).collect()
         pairs = sorted(((row.item_id, row.text) for row in rows), key=lambda pair: (pair[0] is None, pair))
-        terms = sorted({term for _, text in pairs for term in tokens(text)})
-        df = {}
         if shards == 1:
             df = Counter(term for _, text in pairs for term in set(tokens(text)))
-        elif terms:
-            wanted = items.sparkSession.createDataFrame([(term,) for term in terms], "term string")
+        else:
+            wanted = items.where(F.col("shard") == shard).select("text").mapInArrow(_terms, "term string").distinct()
             df = {row.term: row["count"] for row in frequencies.join(wanted, "term", "left_semi").collect()}
-        out.append(BlockMaxIndex(pairs, df, size.n, float(size.mean), how))
-    return out
+        yield BlockMaxIndex(pairs, df, size.n, float(size.mean), how)
 
 
 def _ids(vocabulary: dict[str, int]):
@@ -285,15 +354,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Leak = Leak()) ->
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             memo = Memo(_ids(index.vocabulary))
-            for batch in batches:
+            for batch, texts in texts_of(batches):
                 ids = batch.column("doc_id").to_pylist()
-                found = index.leaks([text or "" for text in batch.column("text").to_pylist()], memo)
+                found = index.leaks(texts, memo)
                 rows = [(doc_id, index.item_ids[item], *values) for doc_id, leaks in zip(ids, found, strict=True) for item, values in sorted(leaks.items())]
                 columns = list(zip(*rows, strict=True)) or [[]] * 5
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        out = out.union(docs.select("doc_id", "text").mapInArrow(run, SCHEMA))
+        out = out.union(docs.select("doc_id", "text").mapInArrow(freeing(run), SCHEMA))
     return out
 
 
@@ -309,9 +378,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Leak = Leak())
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             memo = Memo(_ids(index.vocabulary))
-            for batch in batches:
-                found = index.leaks([x or "" for x in batch.column(text).to_pylist()], memo)
+            for batch, texts in texts_of(batches, text):
+                found = index.leaks(texts, memo)
                 yield batch.filter(pa.array([not leaks for leaks in found], pa.bool_()))
 
-        kept = kept.mapInArrow(run, kept.schema)
+        kept = kept.mapInArrow(freeing(run), kept.schema)
     return kept.toDF(*docs.columns)

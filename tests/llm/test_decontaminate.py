@@ -1,10 +1,14 @@
+import pickle
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from plycask.llm import decontaminate
 from plycask.llm.decontaminate import BlockMaxIndex, Leak, contamination, drop_contaminated, question_and_answer, tokens
+from plycask.llm.words import Memo
 from tests.llm.tables import documents, odd_rows
 
 RNG = random.Random(11)
@@ -32,7 +36,7 @@ def test_wand_retrieves_what_full_scoring_does(threshold, block):
         terms = [index.vocabulary[w] for w in words if w in index.vocabulary]
         scores = Counter()
         for t in terms:
-            for item, score in zip(*index.lists[t][:2], strict=True):
+            for item, score in zip(*map(list, index._list(index.postings, t)), strict=True):
                 scores[item] += score
         wanted = {item: score for item, score in scores.items() if score >= threshold - 1e-9}
         found = dict(index.retrieve(terms))
@@ -54,8 +58,9 @@ def test_leaks(spark):
     found = contamination(docs, benchmark).collect()
     assert {(r.doc_id, r.item_id) for r in found} == wanted
     assert all(0.5 <= r.score <= 1 + 1e-9 and r.question_overlap >= 0.5 for r in found)
-    sharded = contamination(docs, benchmark, Leak(shard_bytes=1500)).collect()
-    assert {(r.doc_id, r.item_id) for r in sharded} == wanted
+    for shard_bytes in (700, 1500):
+        sharded = contamination(docs, benchmark, Leak(shard_bytes=shard_bytes)).collect()
+        assert sorted(map(tuple, sharded)) == sorted(map(tuple, found))
     kept = drop_contaminated(docs, benchmark)
     assert kept.columns == docs.columns
     leaking = {i for i, _ in wanted}
@@ -97,3 +102,68 @@ def test_prose_cut_short_or_with_a_word_changed(spark):
     docs = documents(spark, rows)
     assert {(r.doc_id, r.item_id) for r in contamination(docs, benchmark).collect()} == wanted
     assert {r.doc_id for r in drop_contaminated(docs, benchmark).collect()} == {doc_id for doc_id, _ in rows} - {doc_id for doc_id, _ in wanted}
+
+
+def plain(index, text):
+    """Every item of every class against every window of its class, by full scoring."""
+    ids = [index.vocabulary.get(t, -1) for t in tokens(text)]
+    found = set()
+    for item, stride in enumerate(index.stride.tolist()):
+        at = np.flatnonzero(index.postings[1] == item)
+        own = dict(zip((np.searchsorted(index.postings[0], at, side="right") - 1).tolist(), index.postings[2][at].tolist(), strict=True))
+        for start in range(0, max(1, len(ids)), stride):
+            if sum(own.get(t, 0.0) for t in set(ids[start : start + 2 * stride])) >= index.how.score - 1e-9:
+                found.add((item, start, stride))
+    return found
+
+
+@pytest.mark.parametrize("score", [0.3, 0.5])
+def test_no_window_that_reaches_the_threshold_is_left_out(score):
+    items = [(i, sentence(RNG.choice([3, 9, 17, 40]))) for i in range(25)]
+    index = build(items, Leak(score=score))
+    for _ in range(25):
+        parts = [RNG.choice([sentence(RNG.randrange(1, 50)), " ".join(RNG.sample(RNG.choice(items)[1].split(), 3)), RNG.choice(items)[1]]) for _ in range(4)]
+        text = " ".join(parts)
+        ids = np.array([index.vocabulary.get(t, -1) for t in tokens(text)])
+        windows = {(start, stride) for _, start, stride in index.reachable(ids, np.array([len(ids)]))}
+        wanted = plain(index, text)
+        assert {(start, stride) for _, start, stride in wanted} <= windows
+
+
+def test_other_items_decide_nothing(spark):
+    item = (1, f"{sentence(20)}. {sentence(12)}.")
+    docs = documents(spark, [(1, f"{sentence(200)} {item[1]} {sentence(500)}"), (2, sentence(300))])
+    found = []
+    for more in ([], [(2, sentence(600))], [(3, sentence(5)), (4, sentence(64))]):
+        benchmark = spark.createDataFrame([(*x, "s") for x in [item, *more]], BENCHMARK)
+        found.append([(r.doc_id, r.item_id, r.question_overlap, r.answer_overlap) for r in contamination(docs, benchmark).collect()])
+    assert found == [[(1, 1, 1.0, 1.0)]] * 3
+
+
+def test_many_short_items_take_little_memory():
+    word = lambda: f"v{int(20_000 * RNG.random() ** 2)}"
+    items = [(i, " ".join(word() for _ in range(12))) for i in range(20_000)]
+    index = build(items)
+    assert len(pickle.dumps(index)) < 40 << 20
+    texts = [" ".join([*(word() for _ in range(4_000)), items[7][1], *(word() for _ in range(4_000))])] * 2
+    tracemalloc.start()
+    found = index.leaks(texts, Memo(decontaminate._ids(index.vocabulary)))
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    assert all(7 in {index.item_ids[i] for i in x} for x in found)
+
+
+def test_a_document_in_pieces(monkeypatch):
+    index = build(ITEMS)
+    text = " ".join([sentence(700), ITEMS[5][1], sentence(130), ITEMS[6][1], sentence(900), ITEMS[5][1]])
+    memo = Memo(decontaminate._ids(index.vocabulary))
+    whole = index.leaks([text, "", sentence(50)], memo)
+    monkeypatch.setattr(BlockMaxIndex, "_MOST", 300)
+    assert index.leaks([text, "", sentence(50)], memo) == whole and len(whole[0]) == 2
+
+
+def test_very_long_texts(spark):
+    text = sentence(200_000)
+    benchmark = spark.createDataFrame([(*x, "s") for x in ITEMS], BENCHMARK)
+    docs = documents(spark, [(1, f"{text} {ITEMS[3][1]} {text[:100_000]}"), (2, text)])
+    assert [(r.doc_id, r.item_id) for r in contamination(docs, benchmark).collect()] == [(1, 3)]
