@@ -1,15 +1,15 @@
 """Packing of token sequences in tiers of context sizes.
 
 Documents are tokenised and end with a separator.  What fills whole windows of the largest tier goes
-there directly; the rest of a document is routed to the smallest tier that holds it.  Each tier is
-packed from its longest rest down, by best fit; the gaps that remain in a window are filled from the
-tiers below, whose documents are cut where a gap ends.  Only one window of a group of documents can
-stay open; it is cut into sequences of powers of two, which need no padding.  Sequences get a step
-group in rotation by tier, each partition from a group of its own on, so that every group of steps has
-about the same number of each length.
-
-Documents are packed in groups of bounded size as their partition streams by, so nothing is shuffled
-and memory does not grow with the input.
+there directly; the rest of a document is routed to the smallest tier that holds it.  Tiers are packed from
+the longest down, each in windows of its own size: a rest opens a window, and the gap behind it is filled from
+the shorter tiers, by the longest rest that fits, and where none does by part of a shorter one.  The
+shortest tier's rests follow each other in its windows.  Only one window of a group of documents can
+stay open; it is cut into sequences of powers of two, which need no padding.
+
+Documents are packed in groups of bounded size as their partition streams by, so texts are never shuffled
+and memory does not grow with the input.  Sequences are then dealt to step groups in rotation, tier by tier
+over all partitions, so that any two groups of steps differ by at most one sequence of each length.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ import re
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,16 +27,21 @@ import regex
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from plycask.llm.words import Memo, texts_of
+from plycask.llm.scratch import Scratch
+from plycask.llm.words import Memo, freeing, texts_of
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, tier long, step_group long"
+_PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, partition long, rank long"
 SEPARATOR = (0).to_bytes(4, "little")
 #: The pattern by which this kind of vocabulary cuts a text before it merges: a fixed public value.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Blanks besides space and line feed.
 _OTHER_BLANK = re.compile(r"[^\S \n]").search
+_LAST = 1 << 60
 #: Tokens of a group of documents that are packed together.
 GROUP_TOKENS = 2_000_000
 
@@ -59,7 +63,7 @@ class ByteEncoder:
     tiktoken gives the same ids in less time.
     """
 
-    def __init__(self, path: str, remembered: int = 500_000):
+    def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
@@ -74,9 +78,9 @@ class ByteEncoder:
             one = lambda piece: np.array(core.encode_single_piece(piece.encode()), "<u4").tobytes()
         else:
             one = self.whole
-        piece, cut = Memo(one, remembered // 2).__getitem__, regex.compile(PIECES).findall
+        piece, cut = Memo(one).__getitem__, regex.compile(PIECES).findall
         self.pieces = lambda text: b"".join(map(piece, cut(text)))
-        self.chunk = Memo(self.pieces, remembered).__getitem__
+        self.chunk = Memo(self.pieces).__getitem__
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -90,11 +94,6 @@ class ByteEncoder:
         return self.chunk(first) + b"".join(map(self.chunk, [" " + chunk for chunk in rest]))
 
 
-@lru_cache(maxsize=2)
-def _encoder(path: str) -> ByteEncoder:
-    return ByteEncoder(path)
-
-
 def power_parts(length: int) -> list[int]:
     """A length as falling powers of two."""
     return [1 << bit for bit in range(length.bit_length() - 1, -1, -1) if length >> bit & 1]
@@ -103,64 +102,51 @@ def power_parts(length: int) -> list[int]:
 def pack_group(lengths: list[int], window: int, tiers: int = 4) -> list[list[tuple[int, int, int]]]:
     """Sequences of pieces (document, start, length) that hold every token of documents 0, 1, ... just once.
 
-    All are as long as the window, but for at most one of each power of two below it.
+    All are as long as the window of a tier, but for at most one of each power of two below the shortest.
     """
     sequences: list[list[tuple[int, int, int]]] = []
-    below: list[deque[tuple[int, int, int]]] = [deque() for _ in range(tiers)]
-    bounds = [window >> i for i in range(tiers)]  # tier i holds rests of up to bounds[i]
-    rests = []
+    sizes = [max(1, window >> i) for i in range(tiers)]
+    #: Rests by length, then document and start.
+    rests: list[tuple[int, int, int]] = []
     for doc, n in enumerate(lengths):
         whole = n // window * window
         sequences += [[(doc, at, window)] for at in range(0, whole, window)]
         if n > whole:
             rests.append((n - whole, doc, whole))
-    rests.sort(key=lambda rest: (-rest[0], rest[1]))
-    for n, doc, start in rests:
-        below[max(i for i in range(tiers) if n <= bounds[i] or i == 0)].append((doc, start, n))
-
-    # Best fit within a tier: windows with a gap, by the size of it.
-    gaps: list[tuple[int, int]] = []
-    open_windows: list[list[tuple[int, int, int]]] = []
-    for tier in range(min(2, tiers)):  # the tiers that leave gaps; those below are what fills them
-        for piece in below[tier]:
-            at = bisect.bisect_left(gaps, (piece[2], -1))
-            if at < len(gaps):
-                room, i = gaps.pop(at)
-                open_windows[i].append(piece)
-            else:
-                room, i = window, len(open_windows)
-                open_windows.append([piece])
-            if room > piece[2]:
-                bisect.insort(gaps, (room - piece[2], i))
-        below[tier].clear()
-
-    # Gaps, largest first, from the longest of the shorter tiers; a document is cut where the gap ends.
-    fill = deque(piece for tier in below for piece in tier)
-    for room, i in reversed(gaps):
-        while room and fill:
-            doc, start, n = fill.popleft()
-            take = min(n, room)
-            open_windows[i].append((doc, start, take))
-            room -= take
-            if n > take:
-                fill.appendleft((doc, start + take, n - take))
-    # What is left over, and the windows with a gap still, make a stream that is cut at every window.
-    full, loose = [], []
-    for pieces in open_windows:
-        (full if sum(piece[2] for piece in pieces) == window else loose).append(pieces)
-    sequences += full
-    stream = deque([piece for pieces in loose for piece in pieces] + list(fill))
-    left = sum(piece[2] for piece in stream)
-    for size in [window] * (left // window) + power_parts(left % window):
-        sequence, room = [], size
-        while room:
-            doc, start, n = stream.popleft()
-            take = min(n, room)
-            sequence.append((doc, start, take))
-            room -= take
-            if n > take:
-                stream.appendleft((doc, start + take, n - take))
-        sequences.append(sequence)
+    rests.sort()
+
+    def fill(pieces: list[tuple[int, int, int]], room: int) -> int:
+        """Adds rests to the pieces of a window until it is full or there are none; returns the room that is left."""
+        while room and rests:
+            at = bisect.bisect_right(rests, (room, _LAST))
+            n, doc, start = rests.pop(max(0, at - 1))
+            pieces.append((doc, start, min(n, room)))
+            if n > room:
+                bisect.insort(rests, (n - room, doc, start + room))
+            room -= min(n, room)
+        return room
+
+    pieces, room = [], 0
+    for i, size in enumerate(sizes):
+        # Rests of the tier are longer than the windows of the next one.
+        shorter = sizes[i + 1] if i + 1 < tiers else 0
+        while rests and rests[-1][0] > shorter:
+            n, doc, start = rests.pop()
+            pieces = [(doc, start, n)]
+            room = fill(pieces, size - n)
+            if not room:
+                sequences.append(pieces)
+    if room:  # the last window, and all rests are used up
+        stream = deque(pieces)
+        for size in power_parts(sum(piece[2] for piece in pieces)):
+            sequence, left = [], size
+            while left:
+                doc, start, n = stream.popleft()
+                sequence.append((doc, start, min(n, left)))
+                if n > left:
+                    stream.appendleft((doc, start + left, n - left))
+                left -= min(n, left)
+            sequences.append(sequence)
     return sequences
 
 
@@ -169,20 +155,21 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, step_groups:
 
     One row for each piece: doc_id, start (tokens of the document before it), length, ids_crc32 (of its
     ids as little-endian unsigned 32-bit numbers), doc_tokens (with the separator), sequence_id, offset
-    (place in the sequence; gapless from 0), and besides sequence_tokens, tier (the power of two it fills)
-    and step_group.  A null text counts as empty, which leaves the separator alone; a null doc_id stays
+    (place in the sequence; gapless from 0), and besides sequence_tokens, tier (its context size, a power of two,
+    which it fills) and step_group.  A null text counts as empty, which leaves the separator alone; a null doc_id stays
     null; repeated rows are packed each for itself; an empty table gives no row.  Only doc_id and text are
-    read.  sequence_id is unique: the partition in its high bits and a running number below.  window
-    must be a power of two.
+    read, texts of any length whole; of rests that are equally long the later document's is used first.
+    sequence_id is unique: the partition in its high bits and a running number below.  window must be a power
+    of two.  The pieces are written once, and dealt to step groups by how many sequences each partition has.
     """
     if window < 2 or window & (window - 1):
         raise ValueError(f"window {window} is no power of two")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(tokenizer_path)
+        encode = ByteEncoder(tokenizer_path)
         partition = TaskContext.get().partitionId()
         number = partition << 36
-        steps: defaultdict[int, int] = defaultdict(lambda: partition)
+        ranks: defaultdict[int, int] = defaultdict(int)
         doc_ids: list[int | None] = []
         tokens: list[bytes] = []
         held = 0
@@ -192,13 +179,12 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, step_groups:
             columns: list[list] = [[] for _ in range(10)]
             for sequence in pack_group([len(ids) // 4 for ids in tokens], window):
                 size = sum(piece[2] for piece in sequence)
-                tier = 1 << (size - 1).bit_length()
-                group = steps[tier] % step_groups
-                steps[tier] += 1
+                rank = ranks[size]
+                ranks[size] += 1
                 offset = 0
                 for doc, start, n in sequence:
                     ids = tokens[doc]
-                    row = (doc_ids[doc], start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), len(ids) // 4, number, offset, size, tier, group)
+                    row = (doc_ids[doc], start, n, zlib.crc32(ids[4 * start : 4 * (start + n)]), len(ids) // 4, number, offset, size, partition, rank)
                     for column, value in zip(columns, row, strict=True):
                         column.append(value)
                     offset += n
@@ -206,7 +192,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, step_groups:
             doc_ids.clear()
             tokens.clear()
             held = 0
-            names = [field.split()[0] for field in SCHEMA.split(", ")]
+            names = [field.split()[0] for field in _PIECES.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in columns], names=names)
 
         for batch, texts in texts_of(batches):
@@ -219,4 +205,10 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, step_groups:
         if tokens:
             yield flush()
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    pieces = Scratch(docs.sparkSession, "packing").save(docs.select("doc_id", "text").mapInArrow(freeing(run), _PIECES), "pieces")
+    # How many sequences of a length the partitions before have: a row for each partition and length.
+    sequences = pieces.where("offset = 0").groupBy("sequence_tokens", "partition").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("sequence_tokens").orderBy("partition").rowsBetween(Window.unboundedPreceding, -1)
+    sequences = sequences.select("sequence_tokens", "partition", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    group = (F.col("before") + F.col("rank") + F.log2("sequence_tokens").cast("long") * 7) % step_groups
+    return pieces.join(sequences, ["sequence_tokens", "partition"]).withColumns({"tier": F.col("sequence_tokens"), "step_group": group}).select(*(field.split()[0] for field in SCHEMA.split(", ")))

@@ -1,10 +1,12 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from plycask.llm import bpe_count, packing
@@ -65,7 +67,32 @@ def test_groups_are_packed_without_padding(seed):
     sequences = packing.pack_group(lengths, 1024)
     sizes = [sum(n for _, _, n in sequence) for sequence in sequences]
     assert sum(sizes) == sum(lengths) and all(n & (n - 1) == 0 for n in sizes)
-    assert len([n for n in sizes if n < 1024]) <= 10
+    rest = [n for n in sizes if n < 128]
+    assert len(rest) == len(set(rest)) and all(n in (1024, 512, 256, 128) for n in sizes if n not in rest)
+
+
+def test_each_tier_is_packed_in_its_own_windows():
+    rng = random.Random(2)
+    lengths = [rng.choice([2 * rng.randrange(1000), rng.randrange(1, 500), rng.randrange(1, 300), rng.randrange(1, 130), rng.randrange(1, 100)]) + 1 for _ in range(1000)]
+    sequences = packing.pack_group(lengths, 1024)
+    sizes = Counter(sum(n for _, _, n in sequence) for sequence in sequences)
+    assert all(sizes[tier] > 10 for tier in (1024, 512, 256, 128)), sizes
+    assert sum(size * n for size, n in sizes.items()) == sum(lengths)
+    # A window of a tier begins with a rest that is routed there, whole; few documents are cut besides where windows are full.
+    for sequence in sequences:
+        total = sum(n for _, _, n in sequence)
+        if total in (1024, 512, 256) and len(sequence) > 1:
+            assert sequence[0][2] > total // 2
+    pieces = Counter(doc for sequence in sequences for doc, _, _ in sequence)
+    cut = sum(n - (lengths[doc] + 1023) // 1024 for doc, n in pieces.items())
+    assert cut <= len(sequences) / 2
+
+
+def test_step_groups_have_equal_loads(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(16)
+    found = packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    loads = [r.tokens for r in found.groupBy("step_group").agg(F.sum("length").alias("tokens")).collect()]
+    assert len(loads) == 64 and max(loads) <= 1.2 * sum(loads) / 64
 
 
 def test_window_must_be_a_power_of_two(spark):
