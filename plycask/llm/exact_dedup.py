@@ -24,13 +24,17 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: One budget of native memory for all of an executor's state partitions.
 _BOUNDED = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
+_MEMORY_MB = "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB"
 #: Whether each state partition reserves disk ahead, some megabytes however few keys it has.
 _RESERVE = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
 
+#: Most digests, of 32 bytes and an identifier, that are sent to all executors.
+MAX_BROADCAST = 200_000
+
 
 @contextmanager
 def _settings(spark: SparkSession, **wanted: str):
-    names = {"provider": _PROVIDER, "bounded": _BOUNDED, "reserve": _RESERVE}
+    names = {"provider": _PROVIDER, "bounded": _BOUNDED, "memory": _MEMORY_MB, "reserve": _RESERVE}
     before = {names[k]: spark.conf.get(names[k], None) for k in wanted}
     for k, value in wanted.items():
         spark.conf.set(names[k], value)
@@ -65,11 +69,16 @@ def update_state(spark: SparkSession, landing: str, schema, checkpoint: str, sin
     def write(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{sink}/batch={batch}")
 
-    with _settings(spark, provider=_ROCKS, bounded="true", reserve="false"):
+    with _settings(spark, provider=_ROCKS, bounded="true", memory="128", reserve="false"):
         query = state.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
         query.awaitTermination()
 
 
+def _sent(rows: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
+    """rows for a join with texts: to all executors where they are few, so that texts are not shuffled."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def decide(docs: DataFrame, scratch: Scratch, digest_bytes: int = 32) -> tuple[DataFrame, DataFrame, int]:
     """Tables of the landed records and of the final state (digest, keep_id, keep_file, group_size), and the bytes of a digest with which every copy was confirmed in full."""
     spark, name = docs.sparkSession, f"of{digest_bytes}"
@@ -87,7 +96,7 @@ def decide(docs: DataFrame, scratch: Scratch, digest_bytes: int = 32) -> tuple[D
 
     hits = state.where("group_size > 1").select("digest", "keep_id")
     contents = docs.select("doc_id", collapse(text).alias("content"), digest_of(text, digest_bytes).alias("digest"))
-    copies = scratch.save(contents.join(hits, "digest"), f"copies-{name}")
+    copies = scratch.save(contents.join(_sent(hits), "digest"), f"copies-{name}")
     retained = copies.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("digest").agg(F.min("content").alias("retained"))
     retained = scratch.save(retained, f"retained-{name}")
     differing = copies.join(retained, "digest", "left").where(~F.col("content").eqNullSafe(F.col("retained"))).limit(1)
