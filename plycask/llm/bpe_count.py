@@ -147,13 +147,13 @@ class PieceVocabulary:
 
     def counter(self):
         """A function from a text to its number of tokens."""
-        stretch = Memo(self.count_stretch).__getitem__
+        stretch = Memo(self.count_stretch, 12 << 20).__getitem__
         stretches, prefix = self.stretches.findall, SPACE_MARK if self.dummy_prefix else ""
 
         def whole(text: str) -> int:
             return sum(map(stretch, stretches(text)))
 
-        after_space = Memo(lambda chunk: whole(SPACE_MARK + chunk)).__getitem__
+        after_space = Memo(lambda chunk: whole(SPACE_MARK + chunk), 48 << 20).__getitem__
 
         def count(text: str) -> int:
             if not text:

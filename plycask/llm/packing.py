@@ -17,6 +17,7 @@ from __future__ import annotations
 import bisect
 import json
 import re
+import struct
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
@@ -53,6 +54,11 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(others)}
 
 
+def _little(ids: list[int]) -> bytes:
+    """ids as little-endian unsigned 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ByteEncoder:
     """ids of a text as little-endian 32-bit numbers, by a byte-level vocabulary.
 
@@ -75,15 +81,15 @@ class ByteEncoder:
         if merged == sorted(set(merged)) and min(merged) >= 256 and not model.get("ignore_merges"):
             ranks = {bytes(byte[c] for c in token): i for token, i in vocabulary.items() if token not in self.special}
             core = tiktoken.Encoding("ranks", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})._core_bpe
-            one = lambda piece: np.array(core.encode_single_piece(piece.encode()), "<u4").tobytes()
+            one = lambda piece: _little(core.encode_single_piece(piece.encode()))
         else:
             one = self.whole
-        piece, cut = Memo(one).__getitem__, regex.compile(PIECES).findall
+        piece, cut = Memo(one, 12 << 20).__getitem__, regex.compile(PIECES).findall
         self.pieces = lambda text: b"".join(map(piece, cut(text)))
-        self.chunk = Memo(self.pieces).__getitem__
+        self.chunk = Memo(self.pieces, 64 << 20).__getitem__
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _little(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __call__(self, text: str) -> bytes:
         if any(token in text for token in self.special):

@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
-from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -39,28 +38,28 @@ def split_words(text: str | None) -> list[str]:
     return [word for word in text.split(" ") if word]
 
 
-#: What an entry takes in a dict besides its key and value, about; and what each item of a list or tuple takes.
-_ENTRY, _ITEM = 100, 36
-#: Longest key that is remembered.
-LONGEST_KEY = 128
+#: Bytes that an entry of a memo takes, about, and characters of the longest argument that is remembered.
+_ENTRY, LONGEST_KEY = 200, 64
 
 
 class Memo(dict):
-    """A function's values by argument, forgotten altogether when they take more than most bytes; long arguments are not remembered."""
+    """A function's values by argument, in about ``most`` bytes: what was not asked for since half of that came in is forgotten.  Long arguments are not remembered."""
 
     def __init__(self, function, most: int = 24 << 20):
         super().__init__()
-        self._function, self._most, self._size = function, most, 0
+        self._function, self._limit = function, most // 2 // _ENTRY
+        self._older: dict = {}
 
     def __missing__(self, key):
-        value = self._function(key)
-        if len(key) <= LONGEST_KEY:
-            size = _ENTRY + getsizeof(key) + getsizeof(value) + (_ITEM * len(value) if isinstance(value, (list, tuple)) else 0)
-            self._size += size
-            if self._size > self._most:
-                self.clear()
-                self._size = size
-            self[key] = value
+        value = self._older.get(key)
+        if value is None:
+            value = self._function(key)
+            if len(key) > LONGEST_KEY:
+                return value
+        if len(self) >= self._limit:
+            self._older = dict(self)
+            self.clear()
+        self[key] = value
         return value
 
 
