@@ -1,11 +1,14 @@
 """Removal of recurring passages of words, located by sharded Aho-Corasick automata.
 
-Passages are confirmed first: the windows of ``window`` words that start more than once in the corpus are
-found by counting their content (see ``repeats``), and runs of them make the recurring passages.  A
-partition's passages are then compiled into automata over word numbers, as many shards as their bound in
-words asks for, and every text that can hold one is streamed through all of them, so that each occurrence of
-each passage is located.  Shards lie with the texts that their passages occur in: a text without any
-window that recurs cannot hold a passage and is passed by.
+Passages are confirmed first.  Texts are cut into segments around anchors (see ``repeats``); segments that
+recur as they are have all of their windows confirmed by the count of their content.  Where segments of an anchor
+differ, counting windows confirms which recur, and runs of windows that the same segments hold make the
+recurring passages: a table in which each stands once, taken from one of its holders.
+
+The table is then compiled into automata over word numbers, in shards of a bounded number of words, and the segments
+of all documents that have an anchor of the shard are streamed through them: every occurrence of every
+passage is located by the automata alone, in whichever document it is.  A segment whose anchor no passage has cannot
+hold any and is passed by.  An anchor that very many segments or passages have is dealt out in parts.
 """
 
 from __future__ import annotations
@@ -22,19 +25,18 @@ from pyspark.sql import functions as F
 from plycask.llm import repeats
 from plycask.llm.scratch import Scratch
 from plycask.llm.segments import Shape
-from plycask.llm.words import hash_memo, split_words, word_hashes
+from plycask.llm.words import freeing, hash_memo, slices, split_words, word_hashes
 
 SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 #: Words of all passages of an automaton.
 SHARD_WORDS = 400_000
-
-_memo = hash_memo()
-
+#: Most passages of an anchor that come together with segments of it at a time.
+PASSAGES = 2_000
 
 def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     words = [split_words(text) for text in texts]
     lengths = np.array([len(x) for x in words], np.int64)
-    return word_hashes(list(chain.from_iterable(words)), _memo), lengths
+    return word_hashes(list(chain.from_iterable(words)), hash_memo()), lengths
 
 
 def _finish(text: str) -> tuple[int, str]:
@@ -56,15 +58,74 @@ def automata(passages: list[tuple[int, ...]], shard_words: int = SHARD_WORDS) ->
         yield automaton
 
 
-def locate(texts: list[tuple[int, ...]], passages: list[tuple[int, ...]], shard_words: int = SHARD_WORDS) -> list[np.ndarray]:
+def locate(texts: list[list[str]], passages: list[list[str]], shard_words: int = SHARD_WORDS) -> list[np.ndarray]:
     """For each text the disjoint spans of words that occurrences of the passages cover."""
+    number: dict[str, int] = {}
+    coded = sorted({tuple([number.setdefault(word, len(number) + 1) for word in passage]) for passage in passages})
+    numbers = [tuple([number.get(word, 0) for word in text]) for text in texts]
     found: list[list[tuple[int, int]]] = [[] for _ in texts]
-    for automaton in automata(passages, shard_words):
-        for text, spans in zip(texts, found, strict=True):
+    for automaton in automata(coded, shard_words):
+        for text, spans in zip(numbers, found, strict=True):
             spans.extend((end + 1 - length, end + 1) for end, length in automaton.iter(text))
     return [repeats.spans_of(*np.array(spans, np.int64).reshape(-1, 2).T) for spans in found]
 
 
+def runs(words: list[str], windows: list[dict], window: int) -> list[list[str]]:
+    """The passages of a segment: windows that follow each other and have the same holders."""
+    out: list[list[str]] = []
+    before = None
+    for x in sorted(windows, key=lambda x: x["place"]):
+        here = x["place"], (x["holders"], x["n"])
+        if before is not None and here == (before[0] + 1, before[1]):
+            out[-1].append(words[x["place"] + window - 1])
+        else:
+            out.append(words[x["place"] : x["place"] + window])
+        before = here
+    return out
+
+
+def _located(second: DataFrame, measure: repeats.Measure, shard_words: int, scratch: Scratch) -> DataFrame:
+    """(node, twin, start, stop) of the passages' occurrences in the segments that counting has not settled.
+
+    An anchor's passages and its segments come together in parts of bounded length; an automaton serves many anchors.
+    """
+    window = measure.shape.window
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(anchor, " ".join(run)) for anchor, units, windows in zip(*(batch.column(x).to_pylist() for x in ("anchor", "units", "windows")), strict=True) for run in runs(units.decode().split(" "), windows, window)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int64()), pa.array([x[1] for x in rows], pa.string())], names=["anchor", "words"])
+
+    table = scratch.save(repeats.passages(second, scratch).mapInArrow(freeing(cut), "anchor long, words string"), "passages")
+    patterns = repeats.dealt(table, PASSAGES, "words").groupBy("anchor", "part").agg(F.collect_list("words").alias("passages"))
+    opens = second.where("kind = 'opens' AND first >= 0").select("anchor", "node", "twin", "first", "units")
+    packs = repeats.dealt(opens, repeats.SEGMENTS, "node", "first").groupBy("anchor", "part").agg(F.collect_list(F.struct("node", "twin", "first", "units")).alias("rows"))
+    pairs = scratch.save(packs, "packs").select("anchor", "rows").join(scratch.save(patterns, "patterns").select("anchor", "passages"), "anchor").select("rows", "passages")
+
+    def search(group: list[tuple[list[dict], list[str]]]) -> pa.RecordBatch:
+        rows = [row for some, _ in group for row in some]
+        passages = [passage.split(" ") for _, some in group for passage in some]
+        spans = locate([row["units"].decode().split(" ") for row in rows], passages, shard_words)
+        out = [(row["node"], row["twin"], row["first"] + a, row["first"] + b) for row, found in zip(rows, spans, strict=True) for a, b in found.tolist()]
+        columns = list(zip(*out, strict=True)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "twin", "start", "stop"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: list[tuple[list[dict], list[str]]] = []
+        size = 0
+        for batch in batches:
+            for rows, passages in zip(batch.column("rows"), batch.column("passages"), strict=True):
+                group.append((rows.as_py(), passages.as_py()))
+                size += window * (len(rows) + len(passages))
+                if size > shard_words:
+                    yield search(group)
+                    group, size = [], 0
+        if group:
+            yield search(group)
+
+    return pairs.mapInArrow(freeing(run), repeats.FOUND)
+
+
 def drop_passages(docs: DataFrame, window: int = 35, anchor: int = 8, shard_words: int = SHARD_WORDS, with_text: bool = False) -> DataFrame:
     """Every text without the words that a recurring window of words covers.
 
@@ -74,22 +135,19 @@ def drop_passages(docs: DataFrame, window: int = 35, anchor: int = 8, shard_word
     are judged on the input.  A null text has no words; a null doc_id stays null; repeated rows each give a
     row and are copies of each other; an empty table gives no row.  Only doc_id and text are read.
     """
-    measure = repeats.Measure(Shape(window, anchor), _units)
+    measure = repeats.Measure(Shape(window, anchor), _units, words=split_words)
     scratch = Scratch(docs.sparkSession, "phrase")
     own = repeats.keyed(docs)
     second = repeats.send(own, repeats.states(own, measure, scratch), measure, scratch, _finish)
     scratch.drop("flags")
-    confirmed = repeats.with_spans(second, repeats.repeated_windows(second, measure, scratch), scratch)
+    confirmed = repeats.with_spans(second, scratch.save(_located(second, measure, shard_words, scratch), "located"), scratch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in repeats.slices(whole):
-                words = [split_words(text) for text in batch.column("text").to_pylist()]
-                number: dict[str, int] = {}
-                texts = [tuple([number.setdefault(word, len(number)) for word in x]) for x in words]
-                passages = {text[a:b] for text, spans in zip(texts, repeats.all_spans(batch), strict=True) for a, b in spans.tolist()}
+            for batch in slices(whole):
                 rows = []
-                for doc_id, x, spans in zip(batch.column("doc_id").to_pylist(), words, locate(texts, sorted(passages), shard_words), strict=True):
+                for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), repeats.all_spans(batch), strict=True):
+                    x = split_words(text)
                     edges = [0, *spans.ravel().tolist(), len(x)]
                     kept = list(chain.from_iterable(x[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     joined = " ".join(kept)
@@ -98,7 +156,7 @@ def drop_passages(docs: DataFrame, window: int = 35, anchor: int = 8, shard_word
                 kinds = [pa.int64()] * 3 + [pa.string()] * 2
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept"])
 
-    located = confirmed.select("doc_id", "text", "spans", "more").mapInArrow(run, f"{SCHEMA}, kept string")
+    located = confirmed.select("doc_id", "text", "spans", "more").mapInArrow(freeing(run), f"{SCHEMA}, kept string")
     done = second.where("kind = 'done'").select("doc_id", F.col("n_units").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"))
     if not with_text:
         return located.drop("kept").union(done)

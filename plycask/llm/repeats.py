@@ -11,7 +11,7 @@
 
 All counting is done by aggregations that combine before they shuffle, and every join is between plain
 tables, so that Spark can split a hot key's rows.  Names of contents are 64-bit hashes that must agree
-together with the anchor's, 128 bits in all; documents are named by two hashes of their text.
+together with the anchor's, 128 bits in all; documents are named by two hashes of their id and text.
 """
 
 from __future__ import annotations
@@ -23,13 +23,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plycask.llm.scratch import Scratch
 from plycask.llm.segments import Ladder, Segments, Shape, cut
-from plycask.llm.words import mix
+from plycask.llm.words import freeing, mix, slices
 
 #: States of a segment in a text: repeated; repeated and sent on for comparison; to be settled.
 WHOLE, SENT, UNSETTLED, HOT = 1, 2, 3, 8
@@ -41,7 +40,7 @@ NAMES, SEGMENTS = 20_000, 200
 
 FOUND = "node long, twin long, start long, stop long"
 OCCURRENCES = "node long, anchor long, content long, n int"
-SECOND = "kind string, doc_id long, node long, twin long, text string, n_units long, spans binary, sha string, anchor long, content long, first long, windows int, units binary, name long"
+SECOND = "kind string, doc_id long, node long, twin long, text string, n_units long, spans binary, sha string, anchor long, content long, first long, windows int, units binary, name long, place int"
 
 
 @dataclass(frozen=True)
@@ -52,6 +51,8 @@ class Measure:
     units: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]
     #: The units themselves as bytes, for segments that are compared whole; None where only names of windows are.
     raw: Callable[[list[str]], bytes] | None = None
+    #: The words of a text, for segments that are searched for passages instead of windows by their names.
+    words: Callable[[str], list[str]] | None = None
     #: Contents of an anchor from which its windows are compared one by one.
     hot: int = 500
 
@@ -78,9 +79,12 @@ def pieces(texts: list[str], measure: Measure) -> Iterator[tuple[int, np.ndarray
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text (null as empty), and the two hashes that name the text."""
+    """doc_id, text (null as empty), and the two hashes that name the row: of many copies of a text, one sends its segments.
+
+    Where rows have the same name all the same, nothing is lost: segments are looked up by their content.
+    """
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("node"), F.xxhash64(F.lit(7), text).alias("twin"))
+    return docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("node"), F.xxhash64(F.lit(7), "doc_id", text).alias("twin"))
 
 
 def occurrences(docs: DataFrame, measure: Measure) -> DataFrame:
@@ -98,7 +102,7 @@ def occurrences(docs: DataFrame, measure: Measure) -> DataFrame:
                 columns = nodes[at + s.sequence[one]], s.anchor[one].view(np.int64), s.content[one].view(np.int64), n.astype(np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names=["node", "anchor", "content", "n"])
 
-    return docs.select("node", "text").mapInArrow(run, OCCURRENCES)
+    return docs.select("node", "text").mapInArrow(freeing(run), OCCURRENCES)
 
 
 def states(docs: DataFrame, measure: Measure, scratch: Scratch) -> DataFrame:
@@ -192,7 +196,7 @@ def send(docs: DataFrame, flags: DataFrame, measure: Measure, scratch: Scratch,
                 opened = np.flatnonzero(state & 7 >= SENT)
                 one = opened[(state[opened] & HOT) != 0] if measure.raw else opened
                 if len(one):
-                    yield from _windows(one, s, ladder, shift, state, nodes[at:], twins[at:], measure)
+                    yield from _windows(one, s, ladder, shift, state, nodes[at:], twins[at:], measure, texts[at : at + len(lengths)], starts, offsets)
                 if measure.raw and len(rest := opened[(state[opened] & HOT) == 0]):
                     yield _segments(rest, s, shift, state, nodes[at:], twins[at:], measure.raw(texts[at : at + len(lengths)]), starts, offsets, window)
             spans = [spans_of(*np.array(x).T) if x else np.empty((0, 2), np.int64) for x in known]
@@ -201,23 +205,36 @@ def send(docs: DataFrame, flags: DataFrame, measure: Measure, scratch: Scratch,
             )
 
     joined = docs.join(flags, "node", "left").select("doc_id", "node", "twin", "text", "flags")
-    return scratch.save(joined.mapInArrow(run, SECOND), "second", ["kind"])
+    return scratch.save(joined.mapInArrow(freeing(run), SECOND), "second", ["kind"])
 
 
-def _windows(which: np.ndarray, s: Segments, ladder: Ladder, shift: np.ndarray, state: np.ndarray, nodes: np.ndarray, twins: np.ndarray, measure: Measure) -> Iterator[pa.RecordBatch]:
-    """The names of all windows of open segments, one a row, to be counted; and those of the unsettled ones again, a segment a row, to be looked up."""
+def _windows(
+    which: np.ndarray, s: Segments, ladder: Ladder, shift: np.ndarray, state: np.ndarray, nodes: np.ndarray, twins: np.ndarray, measure: Measure, texts: list[str], starts: np.ndarray, offsets: np.ndarray
+) -> Iterator[pa.RecordBatch]:
+    """The names of all windows of open segments, one a row, to be counted; and the segments again, to be looked up: the names of the unsettled ones or, where texts are of words, the words of all."""
     n = s.last[which] - s.first[which] + 1
     ends = np.cumsum(n)
     owner = np.repeat(which, n)
-    place = np.arange(len(owner)) - np.repeat(ends - n, n) + s.first[owner]
-    names = ladder.spans(place, measure.shape.window).view(np.int64)
-    yield _second(len(owner), "wins", anchor=pa.array(s.anchor[owner].view(np.int64)), content=pa.array(s.content[owner].view(np.int64)), name=pa.array(names))
-    wanted = np.flatnonzero(state[which] & 7 == UNSETTLED)
+    place = np.arange(len(owner)) - np.repeat(ends - n, n)
+    names = ladder.spans(place + s.first[owner], measure.shape.window).view(np.int64)
+    yield _second(len(owner), "wins", anchor=pa.array(s.anchor[owner].view(np.int64)), content=pa.array(s.content[owner].view(np.int64)), name=pa.array(names), place=pa.array(place.astype(np.int32)))
+    unsettled = state[which] & 7 == UNSETTLED
+    wanted = np.arange(len(which)) if measure.words else np.flatnonzero(unsettled)
     if len(wanted):
         one = which[wanted]
-        blobs = [names[a:b].tobytes() for a, b in zip((ends - n)[wanted].tolist(), ends[wanted].tolist(), strict=True)]
         of = s.sequence[one]
-        yield _second(len(one), "opens", node=pa.array(nodes[of]), twin=pa.array(twins[of]), anchor=pa.array(s.anchor[one].view(np.int64)), first=pa.array(s.first[one] + shift[one]), units=blobs)
+        first = s.first[one] + shift[one]
+        if measure.words:
+            split, blobs = [measure.words(text) for text in texts], []
+            for sequence, begin, size in zip(of.tolist(), first.tolist(), (n[wanted] + measure.shape.window - 1).tolist(), strict=True):
+                blobs.append(" ".join(split[sequence][begin : begin + size]).encode())
+        else:
+            blobs = [names[a:b].tobytes() for a, b in zip((ends - n)[wanted].tolist(), ends[wanted].tolist(), strict=True)]
+        # A place below zero: the windows of a repeated content may be passages, but are settled already.
+        first = np.where(unsettled[wanted], first, -1)
+        yield _second(
+            len(one), "opens", node=pa.array(nodes[of]), twin=pa.array(twins[of]), anchor=pa.array(s.anchor[one].view(np.int64)), content=pa.array(s.content[one].view(np.int64)), first=pa.array(first), units=blobs
+        )
 
 
 def _segments(which: np.ndarray, s: Segments, shift: np.ndarray, state: np.ndarray, nodes: np.ndarray, twins: np.ndarray, raw: bytes, starts: np.ndarray, offsets: np.ndarray, window: int) -> pa.RecordBatch:
@@ -232,7 +249,7 @@ def _segments(which: np.ndarray, s: Segments, shift: np.ndarray, state: np.ndarr
     )
 
 
-def _dealt(rows: DataFrame, most: int, *salt: str) -> DataFrame:
+def dealt(rows: DataFrame, most: int, *salt: str) -> DataFrame:
     """rows of an anchor in parts of about most rows each."""
     parts = rows.groupBy("anchor").agg(F.ceil(F.count(F.lit(1)) / most).alias("parts"))
     dealt = rows.join(parts, "anchor").withColumn("part", F.pmod(F.xxhash64(*salt), F.col("parts")))
@@ -247,9 +264,9 @@ def repeated_windows(second: DataFrame, measure: Measure, scratch: Scratch) -> D
     wins = second.where("kind = 'wins'").select("anchor", "name", "content")
     shared = wins.groupBy("anchor", "name").agg(F.min("content").alias("low"), F.max("content").alias("high")).where("low <> high").select("anchor", "name")
     shared = scratch.save(shared, "shared")
-    names = _dealt(shared, NAMES, "name").groupBy("anchor", "part").agg(F.collect_list("name").alias("names"))
+    names = dealt(shared, NAMES, "name").groupBy("anchor", "part").agg(F.collect_list("name").alias("names"))
     opens = second.where("kind = 'opens'").select("anchor", "node", "twin", "first", "units")
-    packs = _dealt(opens, SEGMENTS, "node", "first").groupBy("anchor", "part").agg(F.collect_list(F.struct("node", "twin", "first", "units")).alias("rows"))
+    packs = dealt(opens, SEGMENTS, "node", "first").groupBy("anchor", "part").agg(F.collect_list(F.struct("node", "twin", "first", "units")).alias("rows"))
     pairs = scratch.save(packs, "packs").select("anchor", "rows").join(scratch.save(names, "names").select("anchor", "names"), "anchor").select("rows", "names")
     window = measure.shape.window
 
@@ -268,7 +285,20 @@ def repeated_windows(second: DataFrame, measure: Measure, scratch: Scratch) -> D
             columns = list(zip(*out, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["node", "twin", "start", "stop"])
 
-    return pairs.mapInArrow(run, FOUND)
+    return pairs.mapInArrow(freeing(run), FOUND)
+
+
+def passages(second: DataFrame, scratch: Scratch) -> DataFrame:
+    """(anchor, words): the recurring passages of anchors with several contents, confirmed by counting, once each.
+
+    A passage is a run of windows of the least content that holds them, all of which the same contents hold: equal
+    windows lie at the same distance from their anchor, so every holder of one of them has the passage whole.
+    """
+    wins = second.where("kind = 'wins'").select("anchor", "name", "content", "place").distinct()
+    shared = wins.groupBy("anchor", "name").agg(F.min_by("place", "content").alias("place"), F.min("content").alias("content"), F.max("content").alias("high"), F.bit_xor(F.xxhash64("content")).alias("holders"), F.count(F.lit(1)).alias("n"))
+    runs = shared.where("content <> high").groupBy("anchor", "content").agg(F.collect_list(F.struct("place", "holders", "n")).alias("windows"))
+    held = second.where("kind = 'opens'").groupBy("anchor", "content").agg(F.first("units").alias("units"))
+    return runs.join(held, ["anchor", "content"]).select("anchor", "units", "windows")
 
 
 def with_spans(second: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
@@ -288,16 +318,5 @@ def all_spans(batch: pa.RecordBatch) -> list[np.ndarray]:
     return out
 
 
-def slices(whole: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with texts of about most bytes together, or a single row."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(whole.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < whole.num_rows:
-        before = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
-        yield whole.slice(at, stop - at)
-        at = stop
-
-
 def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()

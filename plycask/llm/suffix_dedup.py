@@ -2,14 +2,11 @@
 
 Texts are cut into segments, and those whose bytes recur as a whole are settled by counting (see
 ``repeats``).  The other segments with a recurring anchor meet by that anchor in a task of the suffix
-index.  There, every batch that arrives gets a suffix array of its window starts.  It is merge-scanned
-against the levels that exist: windows that a level has too are long matches, confirmed on their bytes.
-What is new becomes a level, and levels of about equal size are merged, so that there are never more than
-logarithmically many and every entry is merged logarithmically often.
-
-The suffixes are ordered by the names that prefix doubling gives to their first ``window`` bytes, not
-alphabetically: names depend on content alone, so arrays made in different batches can be merged without
-their texts, and equal windows still are neighbours, which is all that the scan asks for.
+index.  There, every batch that arrives gets a suffix array of its window starts: in the order of their bytes,
+with the length of the prefix that each shares with the one before (as far as a window goes).  Neighbours that
+share a whole window are long matches.  The array is then scanned against the levels that exist, as
+windows that a level has too are long matches.  What is new becomes a level, and levels of about equal size
+are merged, so that there are never more than logarithmically many and every entry is merged logarithmically often.
 """
 
 from __future__ import annotations
@@ -25,8 +22,8 @@ from pyspark.sql import functions as F
 
 from plycask.llm import repeats
 from plycask.llm.scratch import Scratch
-from plycask.llm.segments import Ladder, Shape
-from plycask.llm.words import mix
+from plycask.llm.segments import Shape
+from plycask.llm.words import freeing, mix, slices
 
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 #: A 64-bit hash of each byte.
@@ -35,20 +32,23 @@ _BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 @dataclass
 class Level:
-    """Window starts in the order of their names, each name once."""
+    """A suffix array: starts of different windows in the order of their bytes, the first eight bytes of each as a number, and the bytes each shares with the one before."""
 
-    names: np.ndarray
     at: np.ndarray
+    first: np.ndarray
+    shared: np.ndarray
 
     def __len__(self) -> int:
-        return len(self.names)
+        return len(self.at)
 
 
 class LogarithmicIndex:
     """Levels of suffix arrays over a growing store of bytes, and which window starts were seen to repeat."""
 
     def __init__(self, shape: Shape):
-        self.shape = shape
+        self.window = shape.window
+        #: Where the eights of a window begin; the last ones may overlap.
+        self.eights = [*range(0, self.window - 7, 8)] + ([self.window - 8] if self.window % 8 else [])
         self.store = np.zeros(1 << 16, np.uint8)
         self.repeated = np.zeros(1 << 16, bool)
         self.size = 0
@@ -56,61 +56,99 @@ class LogarithmicIndex:
 
     def _append(self, data: bytes) -> int:
         base, self.size = self.size, self.size + len(data)
-        while self.size + 8 > len(self.store):
-            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-            self.repeated = np.concatenate([self.repeated, np.zeros_like(self.repeated)])
+        size = len(self.store)
+        while self.size + 8 > size:
+            size *= 2
+        if size > len(self.store):
+            for name in ("store", "repeated"):
+                old = getattr(self, name)
+                setattr(self, name, np.concatenate([old, np.zeros(size - len(old), old.dtype)]))
         self.store[base : self.size] = np.frombuffer(data, np.uint8)
         return base
 
-    def _same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Whether the windows at a and b have the same bytes, compared eight at a time."""
-        eights = np.ndarray(len(self.store) - 7, "<u8", self.store.data, strides=(1,))
-        same = np.ones(len(a), bool)
-        window = self.shape.window
-        for i in [*range(0, window - 7, 8), window - 8]:
-            same &= eights[a + i] == eights[b + i]
-        return same
+    def _keys(self, at: np.ndarray) -> np.ndarray:
+        """The eight bytes at each place as a number in whose order they are."""
+        return np.ndarray(len(self.store) - 7, ">u8", self.store.data, strides=(1,))[at].astype(np.uint64)
+
+    def array(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Window starts in the order of their bytes, eight more at a time for those that are alike so far, and the bytes that each shares with the one before."""
+        at = at.copy()
+        alike = np.ones(len(at), bool)  # with the one before, as far as was looked
+        alike[:1] = False
+        shared = np.zeros(len(at), np.int16)
+        for offset in self.eights:
+            open_ = np.flatnonzero(alike | np.append(alike[1:], False))
+            if not len(open_):
+                break
+            group = np.cumsum(~alike[open_])
+            keys = self._keys(at[open_] + offset)
+            order = np.lexsort((keys, group))
+            at[open_], keys = at[open_[order]], keys[order]
+            inner = np.flatnonzero(alike[open_])
+            differing = keys[inner] ^ keys[inner - 1]
+            apart = differing != 0
+            where = open_[inner[apart]]
+            shared[where] = offset + (differing[apart].astype(">u8").view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
+            alike[where] = False
+        shared[alike] = self.window
+        return at, shared
+
+    def _find(self, level: Level, at: np.ndarray) -> np.ndarray:
+        """For each start the place in the level of the same window, -1 where it has none."""
+        found = np.full(len(at), -1, np.int64)
+        keys = self._keys(at)
+        low, high = np.searchsorted(level.first, keys, "left"), np.searchsorted(level.first, keys, "right")
+        left = np.flatnonzero(low < high)
+        low, high = low[left], high[left]
+        for offset in self.eights[1:]:
+            if not len(left):
+                break
+            keys = self._keys(at[left] + offset)
+            low, high = (self._bound(level, offset, keys, low, high, after) for after in (False, True))
+            inside = low < high
+            left, low, high = left[inside], low[inside], high[inside]
+        found[left] = low
+        return found
+
+    def _bound(self, level: Level, offset: int, keys: np.ndarray, low: np.ndarray, high: np.ndarray, after: bool) -> np.ndarray:
+        """Within each range the first place whose eight bytes at the offset are not less, or are greater, by bisection of all ranges at a time."""
+        low, high = low.copy(), high.copy()
+        while len(open_ := np.flatnonzero(low < high)):
+            middle = (low[open_] + high[open_]) // 2
+            there = self._keys(level.at[middle] + offset)
+            less = there <= keys[open_] if after else there < keys[open_]
+            low[open_[less]] = middle[less] + 1
+            high[open_[~less]] = middle[~less]
+        return low
 
     def add(self, contents: list[bytes]) -> int:
         """Adds a batch and marks its windows, and those of the levels, that repeat; returns where it starts in the store."""
         data = b"".join(contents)
         base = self._append(data)
-        ladder = Ladder(_BYTES[np.frombuffer(data, np.uint8)], self.shape)
         sizes = np.fromiter(map(len, contents), np.int64, len(contents))
-        n = np.maximum(0, sizes - self.shape.window + 1)
+        n = np.maximum(0, sizes - self.window + 1)
         starts = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(np.cumsum(sizes) - sizes, n)
-        names = ladder.spans(starts, self.shape.window)
-        order = np.argsort(names, kind="stable")
-        names, at = names[order], starts[order] + base
-        # Within the batch: equal names are neighbours.
-        new = np.append(True, names[1:] != names[:-1])[: len(names)]
-        twins = np.flatnonzero(~new)
-        twins = twins[self._same(at[twins], at[twins - 1])]
+        at, shared = self.array(starts + base)
+        # Within the batch: neighbours that share a window.
+        twins = np.flatnonzero(shared == self.window)
         self.repeated[at[twins]] = True
         self.repeated[at[twins - 1]] = True
-        names, at = names[new], at[new]
+        at = at[shared < self.window]
         for level in self.levels:
-            place = np.searchsorted(level.names, names)
-            place[place == len(level)] = 0
-            hit = np.flatnonzero(level.names[place] == names) if len(level) else np.empty(0, np.int64)
-            hit = hit[self._same(at[hit], level.at[place[hit]])]
+            place = self._find(level, at)
+            hit = place >= 0
+            # The level and what is left of the batch have each window once; other starts of it in the batch are marked already.
             self.repeated[level.at[place[hit]]] = True
-            if len(hit):
-                # Every start of the batch with this name, of which one was kept.
-                self.repeated[at[hit]] = True
-                stay = np.ones(len(names), bool)
-                stay[hit] = False
-                names, at = names[stay], at[stay]
-        self.levels.append(Level(names, at))
+            self.repeated[at[hit]] = True
+            at = at[~hit]
+        self.levels.append(self._level(at))
         while len(self.levels) > 1 and len(self.levels[-2]) < 2 * len(self.levels[-1]):
-            self.levels.append(self._merged(self.levels.pop(), self.levels.pop()))
+            self.levels.append(self._level(np.concatenate([self.levels.pop().at, self.levels.pop().at])))
         return base
 
-    @staticmethod
-    def _merged(a: Level, b: Level) -> Level:
-        names = np.concatenate([b.names, a.names])
-        order = np.argsort(names, kind="stable")  # two runs in order
-        return Level(names[order], np.concatenate([b.at, a.at])[order])
+    def _level(self, at: np.ndarray) -> Level:
+        at, shared = self.array(at)
+        return Level(at, self._keys(at), shared)
 
 
 def _compared(segs: DataFrame, measure: repeats.Measure) -> DataFrame:
@@ -139,7 +177,7 @@ def _compared(segs: DataFrame, measure: repeats.Measure) -> DataFrame:
                 [pa.array(node[of]), pa.array(twin[of]), pa.array(first[of] + ahead[start]), pa.array(first[of] + ahead[last] + measure.shape.window)], names=["node", "twin", "start", "stop"]
             )
 
-    return segs.repartition("anchor").select("node", "twin", "first", "windows", "units").mapInArrow(run, repeats.FOUND)
+    return segs.repartition("anchor").select("node", "twin", "first", "windows", "units").mapInArrow(freeing(run), repeats.FOUND)
 
 
 def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -181,7 +219,7 @@ def drop_repeats(docs: DataFrame, window: int = 200, anchor: int = 32, hot: int
     some, none = repeated_spans(docs, window, anchor, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chain.from_iterable(map(repeats.slices, batches)):
+        for batch in chain.from_iterable(map(slices, batches)):
             rows = []
             for doc_id, text, spans in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), repeats.all_spans(batch), strict=True):
                 data = text.encode()
@@ -192,7 +230,7 @@ def drop_repeats(docs: DataFrame, window: int = 200, anchor: int = 32, hot: int
             kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
 
-    cut = some.select("doc_id", "text", "spans", "more").mapInArrow(run, f"{SCHEMA}, kept binary")
+    cut = some.select("doc_id", "text", "spans", "more").mapInArrow(freeing(run), f"{SCHEMA}, kept binary")
     zero = F.lit(0).cast("long")
     whole = none.select("doc_id", F.col("n_units").alias("n_bytes"), zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256"))
     if not with_text:

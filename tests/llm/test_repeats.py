@@ -35,6 +35,28 @@ def test_words_against_brute_force(spark, seed):
     check(found, rows, brute.words_kept([row[1] for row in rows], 35))
 
 
+def test_the_automata_locate_the_passages():
+    """Without passages in the table, nothing is found where segments of an anchor differ; with them, every occurrence."""
+    words = [f"w{i}" for i in range(60)]
+    windows = [{"place": i, "holders": 1 if i < 4 else 2, "n": 2} for i in (2, 3, 4, 5, 9)]
+    passages = phrase_dedup.runs(words, windows, 35)
+    assert passages == [words[2:38], words[4:40], words[9:44]]
+    texts = [["x", *words[2:38], "y", *words[2:30]], words[1:40], words[9:44] * 2, [], words[3:37]]
+    found = phrase_dedup.locate(texts, passages, shard_words=40)
+    assert [x.tolist() for x in found] == [[[1, 37]], [[1, 39]], [[0, 70]], [], []]
+    assert [x.tolist() for x in phrase_dedup.locate(texts, [], 40)] == [[]] * 5
+
+
+def test_without_automata_rows_are_missing(spark, monkeypatch):
+    rows = list(enumerate(corpus(random.Random(1))))
+    docs = documents(spark, rows)
+    whole = {r.doc_id: r.n_removed for r in phrase_dedup.drop_passages(docs).collect()}
+    second = phrase_dedup.repeats.FOUND
+    monkeypatch.setattr(phrase_dedup, "_located", lambda *_: spark.createDataFrame([], second))
+    without = {r.doc_id: r.n_removed for r in phrase_dedup.drop_passages(docs).collect()}
+    assert sum(without.values()) < sum(whole.values())
+
+
 @pytest.mark.parametrize("hot", [500, 1])
 def test_bytes_against_brute_force(spark, hot):
     rows = list(enumerate(corpus(random.Random(hot)))) + odd_rows()
@@ -85,6 +107,11 @@ def test_levels_grow_geometrically_and_find_every_repeat():
         for content in contents[at : at + 25]:
             places.append(start)
             start += len(content)
+    for level in index.levels:  # real suffix arrays: by their bytes, with the lengths of shared prefixes
+        windows = [index.store[at : at + shape.window].tobytes() for at in level.at.tolist()]
+        assert windows == sorted(set(windows))
+        for a, b, n in zip(windows, windows[1:], level.shared[1:].tolist(), strict=False):
+            assert a[:n] == b[:n] and a[n] != b[n]
     sizes = [len(level) for level in index.levels]
     assert all(a >= 2 * b for a, b in zip(sizes, sizes[1:], strict=False))
     flags = brute.covered(contents, shape.window)
