@@ -196,7 +196,7 @@ def _finish(text: str) -> tuple[int, str]:
 
 def repeated_spans(docs: DataFrame, window: int = 200, anchor: int = 32, hot: int = 500) -> tuple[DataFrame, DataFrame]:
     """The rows of texts with repeated windows, with their spans (of bytes), and the rows of all others, as repeats.send makes them."""
-    measure = repeats.Measure(Shape(window, anchor), _units, _raw, hot)
+    measure = repeats.Measure(Shape(window, anchor), _units, _raw, hot=hot)
     scratch = Scratch(docs.sparkSession, "suffix")
     own = repeats.keyed(docs)
     second = repeats.send(own, repeats.states(own, measure, scratch), measure, scratch, _finish)
