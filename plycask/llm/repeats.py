@@ -294,8 +294,10 @@ def passages(second: DataFrame, scratch: Scratch) -> DataFrame:
     A passage is a run of windows of the least content that holds them, all of which the same contents hold: equal
     windows lie at the same distance from their anchor, so every holder of one of them has the passage whole.
     """
-    wins = second.where("kind = 'wins'").select("anchor", "name", "content", "place").distinct()
-    shared = wins.groupBy("anchor", "name").agg(F.min_by("place", "content").alias("place"), F.min("content").alias("content"), F.max("content").alias("high"), F.bit_xor(F.xxhash64("content")).alias("holders"), F.count(F.lit(1)).alias("n"))
+    wins = second.where("kind = 'wins'").select("anchor", "name", "content", "place", F.xxhash64("content").alias("h"))
+    # Two sums of 31 bits of a hash name the holders; a row that is there twice adds to all windows of its segment alike.
+    part = lambda shift: F.sum(F.shiftrightunsigned("h", shift).bitwiseAND(F.lit(2**31 - 1)))
+    shared = wins.groupBy("anchor", "name").agg(F.min_by("place", "content").alias("place"), F.min("content").alias("content"), F.max("content").alias("high"), part(0).alias("holders"), part(32).alias("n"))
     runs = shared.where("content <> high").groupBy("anchor", "content").agg(F.collect_list(F.struct("place", "holders", "n")).alias("windows"))
     held = second.where("kind = 'opens'").groupBy("anchor", "content").agg(F.first("units").alias("units"))
     return runs.join(held, ["anchor", "content"]).select("anchor", "units", "windows")
