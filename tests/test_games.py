@@ -156,6 +156,16 @@ def test_scraping(spark):
     pages = spark.createDataFrame([(1, '<a class="x" href="a/One.pgn">1</a><a href="http://h/Two.pgn">'), (2, '<a href="b/One.pgn"><a href=".pgn"><a href="x.zip">')], "page_id long, html string")
     assert sorted(map(tuple, scrape.links(pages, ".pgn", "http://base/").collect())) == [("One.pgn", "http://base/a/One.pgn"), ("Two.pgn", "http://h/Two.pgn")]
     assert pages.select(scrape.latest_number(F.col("html"))).head()[0] is None
+    mixed = spark.createDataFrame([(1, None), (2, ""), (3, '<A\nHREF="a/One.pgn" ID=x>1</A><abbr href="no.pgn"><a href="X.PGN"><a name="b.pgn">'), (4, "a < b <a href=\"c.pgn\"")], "page_id long, html string")
+    assert [tuple(r) for r in scrape.links(mixed, ".pgn", "http://base/").collect()] == [("One.pgn", "http://base/a/One.pgn")]
+
+
+def test_results_tables(spark):
+    heading, row = "<TR><Th>n</th></tr>", "<tr class=r><td><b>%s</b></TD><td>9</td></tr>"
+    table = lambda *rows: f'<table class="x"><tr><td>5</td></tr></table><TABLE CLASS="a Results-Table b">{heading}{"".join(row % x for x in rows)}</Table>'
+    pages = [table(" 1555 ", 2), table("1556abc", 2), table(7), table("none", 2), table("x1", 3), None, "", "<table class='results-table'>", heading, table(1, 2)[:-8], table("-3", 1) + table(8, 9)]
+    found = spark.createDataFrame([(i, x) for i, x in enumerate(pages)], "i int, html string").select("i", scrape.latest_number(F.col("html")).alias("n")).orderBy("i").collect()
+    assert [r.n for r in found] == [1555, 1556, None, None, None, None, None, None, None, None, -3]
 
 
 def test_union_and_counters(spark):
