@@ -13,6 +13,7 @@ from plycask.operators import dedupe, filters, openings, positions, scrape, stat
 from plycask.plans import render
 from plycask.plans.book import POSITIONS
 from plycask.sources import json_archives, landing
+from plycask.sources import pgn as raw_pgn
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -225,7 +226,31 @@ def pgn_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(_with("SELECT CAST(count(*) AS BIGINT) AS total, count(*) FILTER (event = 'TCEC S20') AS excluded, count(*) FILTER (id IS NULL) AS nameless FROM games"))
 def pipeline_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _games(spark, sf_dir).agg(F.count(F.lit(1)).alias("total"), F.count_if(filters.excluded(_pgn())).alias("excluded"), F.count_if(headers.tag(_pgn(), "ID").isNull()).alias("nameless"))
+    """The counters that fill as the games are written."""
+    seen, counters = union.observed(_games(spark, sf_dir), "counters", excluded=filters.excluded(_pgn()), nameless=headers.tag(_pgn(), "ID").isNull())
+    seen.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(counters.get[name] for name in ("total", "excluded", "nameless"))], "total long, excluded long, nameless long")
+
+
+@_query(_with("SELECT k, CAST(CASE WHEN source = 'Online' THEN 0 ELSE 1 END AS INTEGER) AS official, CAST(CASE WHEN k % 4 < 2 THEN 1 ELSE 0 END AS INTEGER) AS by_name FROM games"))
+def official_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both rules of what is an official game, over games of which half name a collection."""
+    named = F.concat(_pgn(), F.when(F.col("k") % 4 == 0, "\n{ TWIC 920 }").when(F.col("k") % 4 == 1, "\n{ from PgnMentor }").otherwise(""))
+    return _games(spark, sf_dir).select("k", headers.official(_pgn()).alias("official"), headers.official_by_name(named).alias("by_name"))
+
+
+@_query(_with("SELECT k FROM games WHERE k % 10 > 1"))
+def pgn_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that have both players."""
+    torn = F.regexp_replace(_pgn(), F.when(F.col("k") % 10 == 0, r"\[White [^\n]*\n").when(F.col("k") % 10 == 1, r"\[Black [^\n]*\n").otherwise(r"\A\z"), F.lit(""))
+    return _games(spark, sf_dir).select("k", torn.alias("pgn")).where(filters.has_players(_pgn())).select("k")
+
+
+@_query("SELECT doc_id, length(text) <= 2000 AS kept FROM documents")
+def record_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records up to a size, and those put aside."""
+    kept, aside = raw_pgn.too_long(_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("pgn")), 2_000)
+    return kept.select("doc_id", F.lit(True).alias("kept")).union(aside.select("doc_id", F.lit(False)))
 
 
 # Deduplication and anti-joins.
@@ -313,28 +338,26 @@ def leaderboard_usernames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return json_archives.usernames(documents)
 
 
-_HREFS = r"""hrefs AS (SELECT page_id, unnest(l) AS href, generate_subscripts(l, 1) AS place
-    FROM (SELECT page_id, regexp_extract_all(html, '<a[^>]*href="([^"]*e)"', 1) AS l FROM pages)),
-    names AS (SELECT list_extract(string_split(href, '/'), -1) AS name, CASE WHEN starts_with(href, 'http') THEN href ELSE 'https://index.example' || href END AS url, page_id, place FROM hrefs)"""
+# Pages with links to games and tables of numbers put behind their own html, in upper and lower case, as the given pages have neither.
 
 
-@_query(f"WITH {_HREFS} SELECT name, arg_min(url, (page_id, place)) AS url FROM names WHERE length(name) > 1 AND ends_with(name, 'e') GROUP BY name")
+@_query("""SELECT page_id || '.pgn' AS name, 'https://index.example/files/' || page_id || '.pgn' AS url FROM pages
+    UNION ALL SELECT DISTINCT 'p' || (page_id % 50) || '.pgn', 'https://h.example/p' || (page_id % 50) || '.pgn' FROM pages""")
 def link_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """With `e` for the suffix, as no page links games."""
-    return scrape.links(_table(spark, sf_dir, "pages"), "e", "https://index.example")
+    number = F.col("page_id").cast("string")
+    more = ['<A CLASS="x" HREF="/files/', number, '.pgn">a</A><a\nhref="https://h.example/p', (F.col("page_id") % 50).cast("string"), '.pgn">b</a><a href="UPPER.PGN"></a><a href=".pgn"></a><a name="', number, '.pgn"></a>']
+    html = F.concat(F.coalesce("html", F.lit("")), *(F.lit(x) if isinstance(x, str) else x for x in more))
+    return scrape.links(_table(spark, sf_dir, "pages").select("page_id", html.alias("html")), ".pgn", "https://index.example")
 
 
-@_query("SELECT n_nationkey, CAST(1500 + n_nationkey AS INTEGER) AS latest FROM nation")
+@_query("SELECT page_id, CAST(CASE WHEN page_id % 4 >= 2 AND page_id % 7 <> 0 THEN page_id END AS INTEGER) AS latest FROM pages")
 def table_scrape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Over pages with a results table made from the nations, as the table of pages has none."""
-    row = '<tr class="r"><td><b>%s</b></td><td>x</td></tr>'
-    html = F.concat(
-        F.lit('<p>1</p><table class="a results-table">\n<tr><th>number</th></tr>'),
-        F.format_string(row, (F.col("n_nationkey") + 1500).cast("string")),
-        F.format_string(row, F.lit("7")),
-        F.lit("</table><table><tr><td>2</td></tr></table>"),
-    )
-    return _table(spark, sf_dir, "nation").select("n_nationkey", scrape.latest_number(html).alias("latest"))
+    """Tables of one to four rows besides their heading, some without a number."""
+    row = F.format_string('<TR class="r"><td align=left><B>%s</b> of</TD><td>x</td></tr>', F.when(F.col("page_id") % 7 == 0, "none").otherwise(F.col("page_id").cast("string")))
+    rows = F.concat(row, F.repeat(F.lit("<tr><td>7</td></tr>"), (F.col("page_id") % 4).cast("int") - 1))
+    table = F.concat(F.lit('<table class="other"><tr><td>1</td></tr></table><TABLE id="t" CLASS="a Results-Table">\n<tr><th>number</th></tr>'), F.when(F.col("page_id") % 4 > 0, rows).otherwise(""), F.lit("</TABLE><table><tr><td>2</td></tr></table>"))
+    pages = _table(spark, sf_dir, "pages")
+    return pages.select("page_id", scrape.latest_number(F.concat(F.regexp_replace(F.coalesce("html", F.lit("")), "(?i)</?table", "<p"), table)).alias("latest"))
 
 
 # Validation.
@@ -400,11 +423,14 @@ def replay_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions.explode(_games(spark, sf_dir), ["k"])
 
 
-@_query(f"WITH {_BOOK} SELECT r_regionkey, ply, fen FROM region JOIN fens ON r_regionkey = fen_line")
+@_query(f"WITH {_BOOK} SELECT l_orderkey, l_linenumber, fen FROM lineitem JOIN fens ON l_orderkey % 8 = fen_line AND l_linenumber = ply")
 def fen_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    every = F.array(*(F.struct(F.lit(line).alias("line"), F.lit(ply).alias("ply"), F.lit(fen).alias("fen")) for line, ply, fen in POSITIONS))
-    rows = _table(spark, sf_dir, "region").select("r_regionkey", F.explode(every).alias("p")).where("r_regionkey = p.line")
-    return rows.select("r_regionkey", "p.ply", headers.normalised_fen(F.col("p.fen")).alias("fen"))
+    """Full FENs with other counters than the book's, one for each line item whose game has the ply."""
+    book = spark.createDataFrame([(line, ply, fen) for line, ply, fen in POSITIONS], "line long, ply int, fen string")
+    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    full = F.concat_ws(" ", F.substring_index("fen", " ", 4), F.col("l_suppkey").cast("string"), F.col("l_partkey").cast("string"))
+    found = lines.join(F.broadcast(book), (F.col("l_orderkey") % 8 == F.col("line")) & (F.col("l_linenumber") == F.col("ply")))
+    return found.select("l_orderkey", "l_linenumber", headers.normalised_fen(full).alias("fen"))
 
 
 @_query(_with("SELECT * FROM stats", _BOOK, _COUNTED, _FEN_STATS))
@@ -468,18 +494,18 @@ def opening_identify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return openings.deepest_opening(positions.positions(_games(spark, sf_dir)), _opening_table(spark))
 
 
-@_query("SELECT r_regionkey, CASE r_regionkey WHEN 0 THEN '1. e4 e5 2. Nf3' WHEN 1 THEN '1. e4' ELSE '' END AS pgn FROM region")
+@_query("SELECT o_orderkey, array_to_string(list_transform(range(o_orderkey % 9), lambda i: CASE WHEN i % 2 = 0 THEN (i // 2 + 1) || '. ' ELSE '' END || 'm' || (o_orderkey + i)), ' ') AS pgn FROM orders")
 def moves_rendered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sans = F.when(F.col("r_regionkey") == 0, F.array(F.lit("e4"), F.lit("e5"), F.lit("Nf3"))).when(F.col("r_regionkey") == 1, F.array(F.lit("e4"))).otherwise(F.array().cast("array<string>"))
-    return _table(spark, sf_dir, "region").select("r_regionkey", moves.rendered(sans).alias("pgn"))
+    sans = F.expr("transform(slice(sequence(0, 8), 1, cast(o_orderkey % 9 as int)), i -> concat('m', o_orderkey + i))")
+    return _table(spark, sf_dir, "orders").select("o_orderkey", moves.rendered(sans).alias("pgn"))
 
 
 # Months and weeks of the sources.
 
 
-@_query("SELECT strftime(m, '%Y-%m') AS month, 'lichess_db_standard_rated_' || strftime(m, '%Y-%m') || '.pgn.zst' AS file FROM generate_series(TIMESTAMP '2013-01-01', (SELECT date_trunc('month', max(o_orderdate)) FROM orders), INTERVAL 1 MONTH) AS t(m)")
+@_query("SELECT strftime(m, '%Y-%m') AS month, 'lichess_db_standard_rated_' || strftime(m, '%Y-%m') || '.pgn.zst' AS file FROM generate_series(TIMESTAMP '2013-01-01', (SELECT date_trunc('month', max(o_orderdate)) + INTERVAL 25 YEAR FROM orders), INTERVAL 1 MONTH) AS t(m)")
 def month_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    last = _table(spark, sf_dir, "orders").agg(F.date_format(F.max("o_orderdate"), "yyyy-MM").alias("m")).head().m
+    last = _table(spark, sf_dir, "orders").agg(F.date_format(F.add_months(F.max("o_orderdate"), 300), "yyyy-MM").alias("m")).head().m
     return landing.months(spark, last)
 
 
