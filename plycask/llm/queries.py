@@ -74,6 +74,19 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    # All pairs of texts that share a shingle, and what is reached from a text over links.
+    "op1_minhash": r"""
+        WITH RECURSIVE texts AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+        shingles AS (SELECT DISTINCT doc_id, md5(array_to_string(words[i : i + 4], ' ')) AS shingle FROM texts, unnest(range(1, greatest(len(words) - 3, 2))) AS t(i)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        sets AS MATERIALIZED (SELECT min(doc_id) AS node, content FROM (SELECT doc_id, md5(string_agg(shingle, '' ORDER BY shingle)) AS content FROM shingles GROUP BY doc_id) GROUP BY content),
+        same AS MATERIALIZED (SELECT doc_id, node FROM (SELECT doc_id, md5(string_agg(shingle, '' ORDER BY shingle)) AS content FROM shingles GROUP BY doc_id) JOIN sets USING (content)),
+        few AS MATERIALIZED (SELECT doc_id AS node, shingle, n FROM shingles JOIN sizes USING (doc_id) SEMI JOIN sets ON doc_id = node),
+        links AS MATERIALIZED (SELECT a.node AS a, b.node AS b FROM few a JOIN few b ON a.shingle = b.shingle AND a.node <> b.node AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) GROUP BY a.node, b.node HAVING 10 * count(*) >= 8 * (any_value(a.n) + any_value(b.n) - count(*))),
+        reach AS (SELECT node, node AS other FROM sets UNION SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a),
+        labels AS (SELECT node, min(other) AS label FROM reach GROUP BY node),
+        found AS (SELECT texts.doc_id, coalesce(label, -1) AS label FROM texts LEFT JOIN same USING (doc_id) LEFT JOIN labels USING (node))
+        SELECT doc_id, min(doc_id) OVER w AS class_id, count(*) OVER w AS class_size, doc_id = min(doc_id) OVER w AS representative FROM found WINDOW w AS (PARTITION BY label)""",
     "op2_url_filter": """
         WITH parts AS (
             SELECT page_id,
@@ -91,4 +104,23 @@ ORACLE_SQL = {
         WITH normal AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM normal WINDOW w AS (PARTITION BY text_sha256)""",
+    "op4_phrase_dedup": r"""
+        WITH texts AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents),
+        windows AS (SELECT doc_id, i, md5(array_to_string(words[i : i + 34], ' ')) AS content FROM texts, unnest(range(1, len(words) - 33)) AS t(i)),
+        repeated AS (SELECT doc_id, i FROM windows SEMI JOIN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1) AS twice USING (content)),
+        covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM repeated),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words, count(*) AS n FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM texts) ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
+        SELECT doc_id, len(texts.words) AS n_words, len(texts.words) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256 FROM texts LEFT JOIN kept USING (doc_id)""",
+    "op7_suffix_dedup": r"""
+        WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS data, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        windows AS (SELECT doc_id, i, md5(substr(data, 2 * i + 1, 400)) AS content FROM texts, unnest(range(0, n - 199)) AS t(i)),
+        repeated AS (SELECT doc_id, i FROM windows SEMI JOIN (SELECT content FROM windows GROUP BY content HAVING count(*) > 1) AS twice USING (content)),
+        marked AS (SELECT doc_id, i, coalesce(i - lag(i) OVER w > 200, true) AS begins FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        numbered AS (SELECT doc_id, i, sum(begins::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked),
+        spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM numbered GROUP BY doc_id, span),
+        gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans UNION ALL SELECT doc_id, max(b), max(n) FROM spans JOIN texts USING (doc_id) GROUP BY doc_id),
+        cut AS (SELECT doc_id, string_agg(substr(data, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS data, sum(b - a) AS kept FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n_spans FROM spans GROUP BY doc_id)
+        SELECT doc_id, n AS n_bytes, CAST(n - coalesce(kept, n) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(cut.data, texts.data))) AS kept_sha256
+        FROM texts LEFT JOIN cut USING (doc_id) LEFT JOIN counts USING (doc_id)""",
 }
