@@ -62,8 +62,9 @@ def _added_up(parts: Column) -> Column:
 
 def find(text: Column, pattern: str) -> Column:
     """All matches, leftmost first and not overlapping, as an array of (start, value); starts count code points.  text must be free of the marks."""
-    parts = F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), _OPEN)
-    return F.when(text.rlike(pattern), _added_up(parts)).otherwise(_no_spans())
+    # Within transform, the parts have a name and are made once.
+    cut = F.array(F.split(F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}"), _OPEN))
+    return F.transform(cut, lambda parts: F.when(F.size(parts) > 1, _added_up(parts)).otherwise(_no_spans()))[0]
 
 
 def _digits(value: Column) -> Column:
@@ -147,32 +148,60 @@ def _terms(masked: Column, least: int) -> Column:
     return F.array_distinct(F.filter(runs, lambda run: (F.length(run) > 0) & ~((F.length(run) < least) & run.rlike("^[a-z]+$"))))
 
 
+def _classed(rows: DataFrame, name: str, *counts: str) -> DataFrame:
+    """rows (name, id, hash, weight, counts) with class: the least of the names that stand in exactly the same documents.
+
+    The documents are named by two sums of 31 bits of a hash, and their number.
+    """
+    hashed = rows.withColumn("h", F.xxhash64("id", "hash"))
+    part = lambda shift: F.sum(F.shiftrightunsigned("h", shift).bitwiseAND(F.lit(2**31 - 1)))
+    sums = hashed.groupBy(name, *counts).agg(F.sum("weight").alias("documents"), part(0).alias("low"), part(32).alias("high"))
+    same = [*counts, "documents", "low", "high"]
+    return sums.join(sums.groupBy(*same).agg(F.min(name).alias("class")), same).select(name, "class", "documents", *counts)
+
+
 def disclosing_terms(found: DataFrame, scratch: Scratch, how: Disclosure) -> DataFrame:
     """For documents with an entity and a term that reveals it: id, hash (which together name a document's text) and terms.
 
     found has id, hash, entities, clean (masked; null where there is no entity) and vocabulary (hashes of the distinct
     terms of every document, for counting).
+
+    Terms of a document meet its entities by classes, as all that stand in the same documents have the same counts:
+    a list of entities beside a list of terms, copied a few times, is one pair.  A term also meets only entities that
+    it could reveal: as no more documents can have both than have the entity, its own documents are
+    n(entity) (n / n(entity)) ^ (1 - disclosure) at most.
     """
     documents = found.count()
-    entities = found.where(F.size("entities") > 0).select("id", "hash", F.explode("entities").alias("entity"))
-    frequent = entities.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")).where(F.col("n_entity") >= how.support)
-    frequent = scratch.save(frequent, "entities")
-    # Entities of the documents that a term could reveal; both sides are plain scans, so that a hot entity's rows can be split.
-    held = entities.join(frequent, "entity").groupBy("id", "hash").agg(F.collect_set("entity").alias("shared"))
-    texts = found.where(F.col("clean").isNotNull()).select("id", "hash", "clean").join(held, ["id", "hash"])
-    texts = scratch.save(texts, "texts")
-    pairs = texts.select("id", "hash", "shared", F.explode(_terms(F.col("clean"), how.min_letters)).alias("term")).select("id", "hash", "term", F.explode("shared").alias("entity"))
-    together = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= how.support)
-    together = scratch.save(together.withColumn("word", F.xxhash64("term")), "together")
-    words = found.select(F.explode("vocabulary").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n_term"))
-    words = scratch.save(words.where(F.col("n_term") >= how.support).join(together.select("word").distinct(), "word", "left_semi"), "words")
     n = F.lit(float(documents))
+    one = F.lit(1).cast("long")
+    rows = found.where(F.size("entities") > 0).groupBy("id", "hash").agg(F.count(one).alias("weight"), F.first("clean").alias("clean"), F.first("entities").alias("entities"))
+    rows = scratch.save(rows, "rows")
+    entities = rows.select("id", "hash", "weight", F.explode("entities").alias("entity"))
+    frequent = scratch.save(_classed(entities, "entity").where(F.col("documents") >= how.support).select("entity", "class", F.col("documents").alias("n_entity")), "entities")
+    # Entities of the documents that a term could reveal; both sides are plain scans, so that a hot entity's rows can be split.
+    held = scratch.save(entities.join(frequent, "entity").select("id", "hash", F.col("class").alias("entity"), "n_entity").distinct(), "held")
+    most = F.col("n_entity") * F.pow(n / F.col("n_entity"), F.lit(1 - how.disclosure)) + 1e-6
+    limit = held.agg(F.max(most)).head()[0]
+    if limit is None:
+        return rows.limit(0).select("id", "hash", "clean", F.array().cast("array<string>").alias("terms"))
+    texts = rows.join(held.select("id", "hash").distinct(), ["id", "hash"], "left_semi")
+    terms = texts.select("id", "hash", "weight", F.explode(_terms(F.col("clean"), how.min_letters)).alias("term")).withColumn("word", F.xxhash64("term"))
+    terms = scratch.save(terms, "terms")
+    words = found.select(F.explode("vocabulary").alias("word")).groupBy("word").agg(F.count(one).alias("n_term"))
+    words = words.where((F.col("n_term") >= how.support) & (F.col("n_term") <= limit))
+    words = scratch.save(words.join(terms.select("word").distinct(), "word", "left_semi"), "words")
+    terms = scratch.save(terms.join(words, "word").select("id", "hash", "weight", "term", "n_term"), "counted")
+    classes = scratch.save(_classed(terms, "term", "n_term").where(F.col("documents") >= how.support), "classes")
+    placed = scratch.save(terms.join(classes.select("term", "class"), "term"), "placed")
+    of_class = placed.select("id", "hash", "weight", "class", "n_term").distinct()
+    pairs = of_class.join(held, ["id", "hash"]).where(F.col("n_term") <= most)
+    together = pairs.groupBy("entity", "class", "n_entity", "n_term").agg(F.sum("weight").alias("n_both")).where(F.col("n_both") >= how.support)
     information = F.log2(n / F.col("n_entity"))
     mutual = F.log2(F.col("n_both") * n / (F.col("n_term") * F.col("n_entity")))
-    revealing = together.join(words, "word").join(frequent, "entity").where((information > 0) & (mutual >= F.lit(how.disclosure) * information))
-    revealing = scratch.save(revealing.select("entity", "term"), "revealing")
-    terms = pairs.join(revealing, ["entity", "term"]).groupBy("id", "hash").agg(F.array_sort(F.collect_set("term")).alias("terms"))
-    return texts.dropDuplicates(["id", "hash"]).join(terms, ["id", "hash"]).select("id", "hash", "clean", "terms")
+    revealing = scratch.save(together.where((information > 0) & (mutual >= F.lit(how.disclosure) * information)).select("entity", "class"), "revealing")
+    told = pairs.join(revealing, ["entity", "class"]).select("id", "hash", "class").distinct()
+    listed = placed.join(told, ["id", "hash", "class"]).groupBy("id", "hash").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    return rows.join(listed, ["id", "hash"]).select("id", "hash", "clean", "terms")
 
 
 def personal_data(docs: DataFrame, how: Disclosure = Disclosure()) -> DataFrame:

@@ -1,7 +1,11 @@
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from plycask.llm import pii
@@ -104,3 +108,47 @@ def test_terms_beside_an_identifier(spark):
     rows = [(i, f"4111 1111 1111 1111Zeb 1111 {'1.2.3.4 ' * 3000}") for i in range(3)] + [(10 + i, "others") for i in range(40)]
     spans = pii.personal_data(documents(spark, rows)).where("doc_id = 0").head().revealing
     assert [(s.start, s.value) for s in spans] == [(19, "Zeb"), (23, "1111")]
+
+
+def plain_terms(texts, how):
+    """For each text the terms that reveal one of its entities, by counting every pair."""
+    entities, terms = [], []
+    for text in texts:
+        found, masked = set(), list(text)
+        for kind, pattern in PLAIN:
+            for match in re.finditer(pattern, text):
+                if holds(kind, match.group()):
+                    found.add((kind, match.group().lower() if kind in ("email", "ip") else re.sub("[^0-9]", "", match.group())))
+                    masked[match.start() : match.end()] = " " * len(match.group())
+        runs = regex.findall(r"[\p{L}\p{M}\p{N}]+", "".join(masked))
+        entities.append(found)
+        terms.append({run for run in runs if not (len(run) < how.min_letters and re.fullmatch("[a-z]+", run))})
+    n_entity, n_term = Counter(e for x in entities for e in x), Counter(t for x in terms for t in x)
+    both = Counter((e, t) for x, y in zip(entities, terms, strict=True) for e in x for t in y)
+    n, revealed = len(texts), set()
+    for (e, t), n_both in both.items():
+        information = math.log2(n / n_entity[e])
+        if n_both >= how.support and information > 0 and math.log2(n_both * n / (n_term[t] * n_entity[e])) >= how.disclosure * information:
+            revealed.add((e, t))
+    return [{t for t in y if any((e, t) in revealed for e in x)} for x, y in zip(entities, terms, strict=True)]
+
+
+def test_terms_against_plain_counts(spark):
+    rng = random.Random(4)
+    names, words = [f"Name{i}" for i in range(12)], [f"w{i}x" for i in range(40)]
+    texts = []
+    for _ in range(150):
+        who = rng.randrange(12)
+        parts = [rng.choice(words) for _ in range(rng.randrange(8))]
+        if rng.random() < 0.6:
+            parts += [f"user{who}@host.org", *([names[who]] if rng.random() < 0.9 else []), *([f"Desk{who // 2}"] if rng.random() < 0.8 else [])]
+        if rng.random() < 0.2:
+            parts.append(rng.choice(names))
+        rng.shuffle(parts)
+        texts.append(" ".join(parts))
+    texts += texts[:5] + [" ".join(f"a{i}@b.cd t{i}z" for i in range(300))] * 3  # a long list, copied
+    for how in (pii.Disclosure(), pii.Disclosure(support=2, disclosure=0.7)):
+        docs = documents(spark, [(i % 150, text) for i, text in enumerate(texts)])
+        found = sorted((r.doc_id, r.clean, tuple(r.found)) for r in pii.personal_data(docs, how).select("doc_id", F.lit("").alias("clean"), F.array_sort(F.array_distinct(F.transform("revealing", lambda x: x["value"]))).alias("found")).collect())
+        wanted = sorted((i % 150, "", tuple(sorted(x))) for i, x in enumerate(plain_terms(texts, how)))
+        assert found == wanted and sum(len(x[2]) for x in wanted) > 900
