@@ -40,6 +40,8 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 SEPARATOR = (0).to_bytes(4, "little")
 #: The pattern by which this kind of vocabulary cuts a text before it merges: a fixed public value.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Marks that the pattern keeps apart from letters.
+MARKS = ".,;:!?"
 #: Blanks besides space and line feed.
 _OTHER_BLANK = re.compile(r"[^\S \n]").search
 _LAST = 1 << 60
@@ -56,7 +58,7 @@ def _byte_of_char() -> dict[str, int]:
 
 def _little(ids: list[int]) -> bytes:
     """ids as little-endian unsigned 32-bit numbers."""
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return struct.pack("<%dI" % len(ids), *ids)
 
 
 class ByteEncoder:
@@ -86,7 +88,18 @@ class ByteEncoder:
             one = self.whole
         piece, cut = Memo(one, 12 << 20).__getitem__, regex.compile(PIECES).findall
         self.pieces = lambda text: b"".join(map(piece, cut(text)))
-        self.chunk = Memo(self.pieces, 64 << 20).__getitem__
+        marks = {mark: one(mark) for mark in MARKS}
+
+        def spaced(chunk: str) -> bytes:
+            """A chunk with the space before it.  Letters are one piece with it, and a mark behind them is one of its own."""
+            if chunk.isalpha():
+                return one(" " + chunk)
+            if chunk[-1:] in marks and chunk[:-1].isalpha():
+                return memo[chunk[:-1]] + marks[chunk[-1]]
+            return self.pieces(" " + chunk)
+
+        memo = Memo(spaced, 80 << 20)
+        self.spaced = memo.__getitem__
 
     def whole(self, text: str) -> bytes:
         return _little(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -97,7 +110,7 @@ class ByteEncoder:
         if "  " in text or " \n" in text or "\n " in text or _OTHER_BLANK(text):
             return self.pieces(text)
         first, *rest = text.split(" ")
-        return self.chunk(first) + b"".join(map(self.chunk, [" " + chunk for chunk in rest]))
+        return self.pieces(first) + b"".join(map(self.spaced, rest))
 
 
 def power_parts(length: int) -> list[int]:
