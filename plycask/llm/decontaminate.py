@@ -25,7 +25,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plycask.llm.scratch import Scratch
-from plycask.llm.words import Memo, freeing, texts_of
+from plycask.llm.words import freeing, texts_of
 
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 _TOKENS = re.compile(r"\w+")
@@ -214,7 +214,7 @@ class BlockMaxIndex:
                 end = i + n
         return shared / len(item)
 
-    def leaks(self, texts: list[str], memo: Memo) -> list[dict[int, tuple[float, float, float]]]:
+    def leaks(self, texts: list[str]) -> list[dict[int, tuple[float, float, float]]]:
         """For each text the items it leaks: the best passage's score and overlaps."""
         found: list[dict[int, tuple[float, float, float]]] = [{} for _ in texts]
         if not self.item_ids:
@@ -222,7 +222,7 @@ class BlockMaxIndex:
         size = 0
         group: list[tuple[int, np.ndarray, int]] = []
         for at, text in enumerate(texts):
-            ids = np.fromiter(chain.from_iterable(map(memo.__getitem__, text.split())), np.int64)
+            ids = np.fromiter(map(self.vocabulary.get, tokens(text), repeat(-1)), np.int64)
             for piece, stop in self._pieces(ids):
                 group.append((at, piece, stop))
                 size += self._listed(piece)
@@ -332,11 +332,6 @@ def indexes(benchmark: DataFrame, how: Leak = Leak()) -> Iterator[BlockMaxIndex]
         yield BlockMaxIndex(pairs, df, size.n, float(size.mean), how)
 
 
-def _ids(vocabulary: dict[str, int]):
-    """The ids of a chunk's tokens, -1 for those that no item has."""
-    return lambda chunk: [vocabulary.get(token, -1) for token in tokens(chunk)]
-
-
 def contamination(docs: DataFrame, benchmark: DataFrame, how: Leak = Leak()) -> DataFrame:
     """One row for each document and test item that it leaks.
 
@@ -353,10 +348,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, how: Leak = Leak()) ->
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            memo = Memo(_ids(index.vocabulary))
             for batch, texts in texts_of(batches):
                 ids = batch.column("doc_id").to_pylist()
-                found = index.leaks(texts, memo)
+                found = index.leaks(texts)
                 rows = [(doc_id, index.item_ids[item], *values) for doc_id, leaks in zip(ids, found, strict=True) for item, values in sorted(leaks.items())]
                 columns = list(zip(*rows, strict=True)) or [[]] * 5
                 kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
@@ -377,9 +371,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, how: Leak = Leak())
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            memo = Memo(_ids(index.vocabulary))
             for batch, texts in texts_of(batches, text):
-                found = index.leaks(texts, memo)
+                found = index.leaks(texts)
                 yield batch.filter(pa.array([not leaks for leaks in found], pa.bool_()))
 
         kept = kept.mapInArrow(freeing(run), kept.schema)

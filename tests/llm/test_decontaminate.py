@@ -6,9 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from plycask.llm import decontaminate
 from plycask.llm.decontaminate import BlockMaxIndex, Leak, contamination, drop_contaminated, question_and_answer, tokens
-from plycask.llm.words import Memo
 from tests.llm.tables import documents, odd_rows
 
 RNG = random.Random(11)
@@ -147,7 +145,7 @@ def test_many_short_items_take_little_memory():
     assert len(pickle.dumps(index)) < 40 << 20
     texts = [" ".join([*(word() for _ in range(4_000)), items[7][1], *(word() for _ in range(4_000))])] * 2
     tracemalloc.start()
-    found = index.leaks(texts, Memo(decontaminate._ids(index.vocabulary)))
+    found = index.leaks(texts)
     assert tracemalloc.get_traced_memory()[1] < 200 << 20
     tracemalloc.stop()
     assert all(7 in {index.item_ids[i] for i in x} for x in found)
@@ -156,10 +154,9 @@ def test_many_short_items_take_little_memory():
 def test_a_document_in_pieces(monkeypatch):
     index = build(ITEMS)
     text = " ".join([sentence(700), ITEMS[5][1], sentence(130), ITEMS[6][1], sentence(900), ITEMS[5][1]])
-    memo = Memo(decontaminate._ids(index.vocabulary))
-    whole = index.leaks([text, "", sentence(50)], memo)
+    whole = index.leaks([text, "", sentence(50)])
     monkeypatch.setattr(BlockMaxIndex, "_MOST", 300)
-    assert index.leaks([text, "", sentence(50)], memo) == whole and len(whole[0]) == 2
+    assert index.leaks([text, "", sentence(50)]) == whole and len(whole[0]) == 2
 
 
 def test_very_long_texts(spark):
