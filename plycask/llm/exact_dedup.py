@@ -126,6 +126,39 @@ def groups(docs: DataFrame) -> DataFrame:
     )
 
 
+def add_batch(docs: DataFrame, folder: str) -> DataFrame:
+    """The decisions on a new batch of documents, with all that were added to the folder before.
+
+    folder, in storage that all executors share, keeps the landed records, the stream's checkpoint and the changes of its state
+    from call to call and from session to session.  Columns are those of ``groups``, and keep_file.  docs must be read from
+    Parquet files with doc_id and text that stay where they are: copies are compared in full with the retained
+    document, which is fetched through its locator, and a ValueError tells of one that differs or is gone.  Documents
+    of earlier batches whose group has got a smaller identifier since are not told of again.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "exact-batch")
+    landed = scratch.save(docs.select("doc_id", digest_of(F.col("text")).alias("digest"), F.input_file_name().alias("file")), "landed")
+    landed.write.mode("append").parquet(f"{folder}/landing")
+    update_state(spark, f"{folder}/landing", landed.schema, f"{folder}/checkpoint", f"{folder}/changes")
+    changes = spark.read.schema("digest binary, keep_id long, keep_file string, group_size long, batch int").parquet(f"{folder}/changes")
+    state = changes.groupBy("digest").agg(F.min("keep_id").alias("keep_id"), F.max_by("keep_file", "batch").alias("keep_file"), F.max("group_size").alias("group_size"))
+    decided = scratch.save(landed.join(state, "digest"), "decided")
+    hits = scratch.save(decided.where("group_size > 1").select("digest", "keep_id", "keep_file").distinct(), "hits")
+    files = [row.keep_file for row in hits.select("keep_file").distinct().collect()]  # names of files, not of documents
+    if files:
+        if not all(files):
+            raise ValueError("documents without a file cannot be fetched again")
+        wanted = hits.withColumnRenamed("keep_id", "doc_id")
+        there = spark.read.parquet(*files).select("doc_id", collapse(F.col("text")).alias("retained"), F.input_file_name().alias("keep_file"))
+        there = there.join(_sent(wanted), (there.doc_id.eqNullSafe(wanted.doc_id)) & (there.keep_file == wanted.keep_file)).select("digest", "retained")
+        # A file may hold the identifier more than once; the document is the one of the digest.
+        retained = there.where(digest_of(F.col("retained")) == F.col("digest")).groupBy("digest").agg(F.min("retained").alias("retained"))
+        contents = docs.select(digest_of(F.col("text")).alias("digest"), collapse(F.col("text")).alias("content")).join(_sent(hits.select("digest")), "digest", "left_semi")
+        if not contents.join(retained, "digest", "left").where(~F.col("content").eqNullSafe(F.col("retained"))).isEmpty():
+            raise ValueError("a document differs from the retained one of the same digest, or that one is gone")
+    return decided.select("doc_id", "keep_id", "keep_file", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+
+
 def drop_copies(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:
     """One row of each group of equal texts, with the columns of docs: the one with the smallest doc_id."""
     scratch = Scratch(docs.sparkSession, "exact")

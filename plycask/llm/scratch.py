@@ -1,7 +1,7 @@
 """Tables between the jobs of one operator, in the folder that all executors share.
 
 The folder is the one the cluster names in ``spark.checkpoint.dir``; a temporary folder
-is taken only where that setting is missing (tests on one machine).  What is still there
+is taken only where that setting is missing and all runs on this machine.  What is still there
 when the driver's Python ends is deleted then, as returned DataFrames read it lazily.
 """
 
@@ -21,6 +21,8 @@ def root(spark: SparkSession) -> str:
     """The shared folder, with no slash at its end."""
     named = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
     if not named:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError(f"{_SETTING} must name a folder that all executors share")
         named = "file://" + tempfile.mkdtemp(prefix="plycask-")
         spark.conf.set(_SETTING, named)
     return named.rstrip("/")

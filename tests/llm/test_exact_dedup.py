@@ -53,3 +53,25 @@ def test_state_goes_on_where_it_ended(spark):
         exact_dedup.update_state(spark, scratch.at("landing"), spark.read.parquet(scratch.at("landing")).schema, scratch.at("checkpoint"), scratch.at("changes"))
     changes = spark.read.parquet(scratch.at("changes")).where("digest = X'61'").orderBy("batch").collect()
     assert [(r.keep_id, r.keep_file, r.group_size) for r in changes] == [(5, "f", 1), (3, "g", 3)]
+
+
+def test_batches_over_a_durable_state(spark, tmp_path):
+    """Later calls know what earlier ones added, and read the retained documents through their locators."""
+    folder, seen = f"file://{tmp_path}/state", []
+    batches = [[(i, f"text {i % 4}") for i in range(10, 20)], [(30, "text  1"), (3, "text 2"), (31, "new"), (32, None), (33, "")], [(40, "new"), (5, "text\n3")]]
+    for number, rows in enumerate(batches):
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/in{number}")
+        seen += rows
+        found = exact_dedup.add_batch(spark.read.parquet(f"{tmp_path}/in{number}"), folder).collect()
+        ids = {row[0] for row in rows}
+        assert sorted((tuple(r)[:2] + tuple(r)[3:] for r in found), key=str) == [row for row in brute(seen) if row[0] in ids]
+        assert all(f"in{number}" in r.keep_file for r in found if r.kept)
+    # The retained document of `text 1` (11, in the first batch) is read again from its file.
+    spark.createDataFrame([(i, "other") for i in range(10, 20)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/changed")
+    for part in (tmp_path / "in0").glob("part-*"):
+        part.write_bytes(next((tmp_path / "changed").glob("part-*")).read_bytes())
+    for crc in (tmp_path / "in0").glob(".part-*"):
+        crc.unlink()
+    spark.createDataFrame([(50, "text 1")], "doc_id long, text string").write.parquet(f"{tmp_path}/in3")
+    with pytest.raises(ValueError):
+        exact_dedup.add_batch(spark.read.parquet(f"{tmp_path}/in3"), folder)

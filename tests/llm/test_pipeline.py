@@ -5,6 +5,7 @@ import pytest
 import corpus_pipeline
 from plycask.llm.scratch import Scratch
 from tests.llm.test_exact_dedup import normal
+from tests.llm.tables import documents, odd_rows
 from tests.llm.test_minhash import brute as near_classes
 
 
@@ -42,3 +43,24 @@ def test_run_gives_the_last_stage(spark, stages):
     for r in found.collect():
         whole[r.doc_id] = whole.get(r.doc_id, 0) + r.length
     assert whole == {r.doc_id: r.doc_tokens for r in stages[0][-1]}
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows_and_empty_tables(spark, name, stage):
+    """Null in any column, empty and very long texts, ties, repeated rows, and columns that clash with the operators' own."""
+    sf_dir = "/root/testdata/sf0.001"
+    rows = odd_rows() + [(100 + i, f"the same sentence of words stands here again {i % 2} and ends", "en") for i in range(6)] + [(200, "word and text " * 100_000, "en")]
+    docs = documents(spark, rows)
+    found = stage(spark, docs, sf_dir)
+    ids = [r.doc_id for r in found.select("doc_id").collect()]
+    empty = stage(spark, docs.limit(0), sf_dir)
+    assert empty.count() == 0
+    if name == "packing":
+        assert {None, 3, 4, 200} <= set(ids)
+        return
+    assert found.columns == docs.columns == empty.columns
+    assert set(ids) <= {row[0] for row in rows} and len(ids) <= len(rows)
+    gone = {"language_id": {3, 4, 5, 10}, "exact_dedup": {102, 103, 104, 105}, "near_dedup": {102, 103, 104, 105}, "decontamination": set()}[name]
+    assert not gone & set(ids) and {200, 100} <= set(ids)
+    if name == "decontamination":
+        assert len(ids) == len(rows)
