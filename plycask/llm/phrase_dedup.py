@@ -1,13 +1,13 @@
 """Removal of recurring passages of words, located by sharded Aho-Corasick automata.
 
 Passages are confirmed first.  Texts are cut into segments around anchors (see ``repeats``); segments that
-recur as they are have all of their windows confirmed by the count of their content.  Where segments of an anchor
-differ, counting windows confirms which recur, and runs of windows that the same segments hold make the
+recur as they are have all of their windows confirmed by the count of their content, and are removed on it.  Where segments
+of an anchor differ, counting windows confirms which recur, and runs of windows that the same segments hold make the
 recurring passages: a table in which each stands once, taken from one of its holders.
 
 The table is then compiled into automata over word numbers, in shards of a bounded number of words, and the segments
-of all documents that have an anchor of the shard are streamed through them: every occurrence of every
-passage is located by the automata alone, in whichever document it is.  A segment whose anchor no passage has cannot
+of all documents that have an anchor of the shard and are not settled yet are streamed through them: in these, every
+occurrence of every passage is located by the automata alone.  A segment whose anchor no passage has cannot
 hold any and is passed by.  An anchor that very many segments or passages have is dealt out in parts.
 """
 
