@@ -50,14 +50,20 @@ def content_key(text: Column) -> Column:
 
 
 def first_wins(games: DataFrame, key: Column, order: list[str], keep_keyless: bool = True) -> DataFrame:
-    """Of the games with a key the one that comes first in the order, a total one; those without are all kept, or dropped.
+    """Of the games with a key the one that comes first in the order, a total one without nulls; those without are all kept, or dropped.
 
-    The minimum is combined before the shuffle, so a key that very many games share is no burden.
+    Only keys and orders are counted, and combined before the shuffle, so a key that very many games share is no
+    burden.  The keys that recur are then looked up: where they are few, Spark broadcasts them and no text is moved.
+    Games without a key look for a name of their own, so that they are not one partition's work where it does not.
     """
+    place = F.struct(*order) if len(order) > 1 else F.col(order[0])
     keyed = games.withColumn("dedupe_key", key)
-    whole = F.struct(*(F.col(name) for name in games.columns))
-    first = keyed.where(F.col("dedupe_key").isNotNull()).groupBy("dedupe_key").agg(F.min_by(whole, F.struct(*order)).alias("game")).select("game.*")
-    return first.unionByName(games.where(key.isNull())) if keep_keyless else first
+    recurring = keyed.where("dedupe_key IS NOT NULL").groupBy("dedupe_key").agg(F.min(place).alias("dedupe_first"), F.count(F.lit(1)).alias("dedupe_n")).where("dedupe_n > 1")
+    recurring = recurring.select(F.col("dedupe_key").cast("string").alias("dedupe_name"), "dedupe_first")
+    name = F.coalesce(F.col("dedupe_key").cast("string"), F.concat(F.lit("\0"), F.xxhash64(*order).cast("string")))
+    met = keyed.withColumn("dedupe_name", name).join(recurring, "dedupe_name", "left")
+    first = F.col("dedupe_first").isNull() | (F.col("dedupe_first") == place)
+    return met.where(F.col("dedupe_key").isNull() | first if keep_keyless else F.col("dedupe_key").isNotNull() & first).select(*games.columns)
 
 
 def dedupe(games: DataFrame, order: list[str]) -> DataFrame:
