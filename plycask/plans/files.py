@@ -81,11 +81,11 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").select("user_id")
 
 
-@queries._query(queries._with("SELECT count(DISTINCT key) + count(*) FILTER (key IS NULL) AS kept FROM keys", f"keys AS (SELECT k, {queries._COMPOSITE} AS key FROM games)"))
+@queries._query(queries._with("SELECT min(k) AS k FROM keys WHERE key IS NOT NULL GROUP BY key UNION ALL SELECT k FROM keys WHERE key IS NULL", f"keys AS (SELECT k, {queries._COMPOSITE} AS key FROM games)"))
 def stream_dedupe_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _folder(spark, "stream-games")
-    ingest.composite(render.games(_stream(spark, sf_dir, "orders", folder)), f"{folder}/out", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/out").agg(F.count(F.lit(1)).alias("kept"))
+    ingest.composite(render.games(_stream(spark, sf_dir, "orders", folder)), f"{folder}/out", f"{folder}/checkpoint", ("k",))
+    return spark.read.parquet(f"{folder}/out").select("k")
 
 
 @queries._query("SELECT event_type, count(*) AS occurrence, count(*) FILTER (user_id % 3 = 0) AS white, count(*) FILTER (user_id % 3 = 1) AS black, count(*) FILTER (user_id % 3 = 2) AS draw FROM events GROUP BY 1")

@@ -119,6 +119,13 @@ def test_a_stream_reads_each_file_once(spark, tmp_path):
     assert spark.read.parquet(out).count() == 3
     ingest.monthly(pgn.stream_pgn(spark, str(land)), f"{tmp_path}/monthly", f"{tmp_path}/checkpoint2")
     assert spark.read.parquet(f"{tmp_path}/monthly/limited").count() == 4
+    # Moves are no part of the key: of the games of a key the first by file and place stays; games without a key all do.
+    (land / "3.pgn").write_text(game(5) + game(4, "1. d4 1-0") + game(4, "1. c4 1-0") + game(6, Black="") * 2)
+    (land / "4.pgn").write_text(game(4, "1. e4 1-0") + game(3, "1. a3 1-0"))
+    ingest.composite(pgn.stream_pgn(spark, str(land)), out, at)
+    last = spark.read.parquet(f"{out}/batch=2")
+    assert last.count() == 4 and last.where("dedupe_key IS NULL").count() == 2
+    assert last.where("pgn LIKE '%W4%'").head().pgn.endswith("1. d4 1-0")
 
 
 def test_the_whole_corpus(spark, folder, tmp_path):
