@@ -60,9 +60,8 @@ def _weak(s: bytes, at: int, a: int, b: int) -> tuple[int, int]:
     return (a + z) & _M, (b + c) & _M
 
 
-def city64(text: str) -> int:
-    """CityHash64 of a text in UTF-8."""
-    s = text.encode()
+def city64(s: bytes) -> int:
+    """CityHash64."""
     n = len(s)
     mul = (_K2 + 2 * n) & _M
     if n == 0:
@@ -109,7 +108,7 @@ def city64(text: str) -> int:
 def city_key(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """CityHash64; to be applied after aggregation, when every position is there once."""
     for series in texts:
-        yield series.map(lambda text: None if text is None else str(city64(text)))
+        yield series.map(lambda text: None if text is None else str(city64(text.encode())))
 
 
 def game_id(source: Column, pgn: Column) -> Column:
